@@ -1,0 +1 @@
+"""Every load is a manually started batch for one execution_date, so there are no streams here."""
