@@ -68,14 +68,17 @@ def with_technical_columns(rows: DataFrame, execution_date: Column, batch_ts: Co
 def entity_rows(records: DataFrame, contract: TableContract, order: Iterable[str] = ()) -> DataFrame:
     """One entity out of flat typed records: its columns, one row per key.
 
+    The winner is the greatest by ``order``, which may name record columns outside the contract.
     Rows whose key is null are all kept, to be rejected by the contract checks.
     """
-    rows = records.select(*contract.names)
+    order = list(order)
+    carried = [c for c in order if c not in contract.names]
+    rows = records.select(*contract.names, *carried)
     complete = F.lit(True)
     for name in contract.key:
         complete = complete & F.col(name).isNotNull()
-    keyed = latest_per_key(rows.filter(complete), contract.key, [c for c in order if c in contract.names])
-    return keyed.unionByName(rows.filter(~complete))
+    keyed = latest_per_key(rows.filter(complete), contract.key, order)
+    return keyed.unionByName(rows.filter(~complete)).select(*contract.names)
 
 
 def split_entities(
