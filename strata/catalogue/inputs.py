@@ -66,11 +66,8 @@ def portable(rows: DataFrame) -> DataFrame:
 def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw file per event, of the sixteen kinds."""
     kind = F.col("event_id") % 16
-    good = F.format_string(_GOOD, F.col("props"))
-    content = good
-    for number, text in enumerate(FILE_KINDS):
-        if text is not None:
-            content = F.when(kind == number, F.lit(text)).otherwise(content)
+    fixed = F.array(*[F.lit(text) for text in FILE_KINDS])
+    content = F.coalesce(F.get(fixed, kind.cast("int")), F.format_string(_GOOD, F.col("props")))
     suffix = F.when(kind == 14, ".JSON").when(kind == 15, ".txt").otherwise(".json")
     path = F.concat(F.lit(f"{RAW_BASE}/execution_date={DATE}/event="), F.format_string("%012d", "event_id"), suffix)
     binary = content.cast("binary")

@@ -25,6 +25,7 @@ from strata.functions.hashing import pipe_request_hash, request_hash
 from strata.functions.moments import from_epoch_ms, iso_utc, to_date_strict
 from strata.functions.text import account_name, safe_run_id
 from strata.operators import constraints, facts, keys, lifecycle, metrics, raw, records, runlog, standard, upsert, validation
+from strata.session import materialise
 from strata.sources import envelopes, layers, pages, run_results
 
 
@@ -119,8 +120,9 @@ def q04b_raw_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q04c_records_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _raw_batch(spark, sf_dir)
-    items = J.result_items(J.parse_strict(F.col("content")), "$.payload.results")
-    return raw.new_rows(batch, _raw_before(batch)).agg(
+    added = J.with_document(raw.new_rows(batch, _raw_before(batch)), F.col("content"), "document")
+    items = J.result_items(F.col("document"), "$.payload.results")
+    return added.agg(
         F.count(F.lit(1)).alias("pages_written"), F.sum(F.size(items)).cast("bigint").alias("records_written")
     )
 
@@ -207,7 +209,7 @@ _BUSINESS = {name: [n for n in c.names if n not in ("execution_date", "ingestion
 
 def _entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = records.split_entities(debt_records(spark, sf_dir), {name: STAGING[name]}, ("fecha_corte", "monto_tramo"))
-    return portable(rows[name].select(*_BUSINESS[name], "execution_date"))
+    return portable(rows[name].rows.select(*_BUSINESS[name], "execution_date"))
 
 
 def q10_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +238,7 @@ def q10d_debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
         empty.alias("institucion_pagadora"),
         empty.alias("agencias_implantacion"),
     )
-    return portable(records.entity_rows(_technical(rows), STAGING["deudor"]))
+    return portable(records.entity(_technical(rows), STAGING["deudor"]).rows)
 
 
 def q10e_creditors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,14 +247,14 @@ def q10e_creditors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("S").alias("tipo_acreedor"),
         F.col("s_nationkey").cast("string").alias("pais_acreedor"),
     )
-    return portable(records.entity_rows(_technical(rows), STAGING["acreedor"]))
+    return portable(records.entity(_technical(rows), STAGING["acreedor"]).rows)
 
 
 def q10f_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").select(
         F.col("p_name").alias("ley_numero"), F.date_add(F.lit("1990-01-01").cast("date"), "p_size").alias("fecha_ley")
     )
-    return portable(records.entity_rows(_technical(rows), STAGING["ley"], ("fecha_ley",)))
+    return portable(records.entity(_technical(rows), STAGING["ley"], ("fecha_ley",)).rows)
 
 
 def q11_standardise_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,7 +347,7 @@ def q16b_late_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _debts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records.entity_rows(debt_records(spark, sf_dir), STAGING["deuda_corte"], ("monto_tramo",))
+    rows = records.entity(debt_records(spark, sf_dir), STAGING["deuda_corte"], ("monto_tramo",)).rows
     return records.fill_month_year(rows.drop("ingestion_timestamp"))
 
 
@@ -482,7 +484,7 @@ def q21d_json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         base="logs", layer="curated",
     )
     written = documents.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("document"))
-    parsed = written.select(J.parse_strict(F.col("document")).alias("d"))
+    parsed = J.with_document(written, F.col("document"), "d")
     shown = ["run_id", "status", "error_message", "user_id", "log_path", "log_written_at_utc"]
     return parsed.select(*[F.try_variant_get("d", f"$.{n}", "string").alias(n) for n in shown])
 
@@ -608,9 +610,9 @@ def q24_warehouse_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch_ts=moment(BATCH_TS),
     )
     logged = metrics.audit_log_runs(payload, "warehouse")
-    shown = J.parse_strict(F.col("details_json"))
+    shown = F.col("details")
     counts = ["rows_read", "rows_inserted", "rows_updated", "rows_written", "databricks_run_id"]
-    return logged.select(
+    return J.with_document(logged, F.col("details_json"), "details").select(
         "status",
         "error_message",
         "stage",
@@ -679,13 +681,15 @@ def q29_raw_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [n for n in record_fields() if n in set(_BUSINESS["prestamo"]) | set(_BUSINESS["deuda_corte"])]
     fields = {f.name: f for c in ("prestamo", "deuda_corte") for f in STAGING[c].fields}
     typed_rows = records.typed_records(envelopes.record_columns(exploded, names), [fields[n] for n in names])
-    staged = _technical(typed_rows)
-    loans = constraints.accepted(constraints.checked(
-        standard.standardise(records.entity_rows(staged, STAGING["prestamo"], ("fecha_corte",)), STAGING["prestamo"]), STAGING["prestamo"]
-    ))
-    debts = constraints.accepted(constraints.checked(
-        standard.standardise(records.entity_rows(staged, STAGING["deuda_corte"], ("monto_tramo",)), STAGING["deuda_corte"]), STAGING["deuda_corte"]
-    ))
+    # Parsed once: the entities below read single columns of the written copy.
+    staged, _ = materialise(_technical(typed_rows), "records")
+
+    def curated(name: str, order: str) -> DataFrame:
+        tidy = standard.standardise(records.entity(staged, STAGING[name], (order,)).rows, STAGING[name])
+        return records.entity(tidy, STAGING[name]).rows
+
+    loans = curated("prestamo", "fecha_corte")
+    debts = curated("deuda_corte", "monto_tramo")
     dim_loans = keys.assign_keys(loans.select("numero_prestamo"), facts.LOAN, "prestamo_key")
     dim_tranches = keys.assign_keys(debts.select(*facts.TRANCHE).distinct(), facts.TRANCHE, "tramo_key")
     resolved = facts.with_reference_keys(records.fill_month_year(debts.drop("ingestion_timestamp")), dim_tranches, dim_loans)

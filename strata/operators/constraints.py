@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import TableContract
+from strata.functions.codes import codes
 
 REASONS = "reasons"
 
@@ -20,9 +21,9 @@ def reasons(contract: TableContract, columns: Iterable[str], *, octets: bool = F
     present = set(columns)
     size = F.octet_length if octets else F.length
     fields = [f for f in contract.fields if f.name in present]
-    broken = [F.when(F.col(f.name).isNull(), F.lit(f"NOT_NULL:{f.name}")) for f in fields if f.required]
-    broken += [F.when(size(F.col(f.name)) > f.width, F.lit(f"WIDTH:{f.name}")) for f in fields if f.width]
-    return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+    broken = [(F.col(f.name).isNull(), f"NOT_NULL:{f.name}") for f in fields if f.required]
+    broken += [(size(F.col(f.name)) > f.width, f"WIDTH:{f.name}") for f in fields if f.width]
+    return codes(*broken)
 
 
 def checked(rows: DataFrame, contract: TableContract, *, octets: bool = False) -> DataFrame:

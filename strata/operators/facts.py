@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import FACT, TableContract
+from strata.functions.codes import codes
 from strata.operators.keys import BUCKETS, assign_keys
 from strata.operators.upsert import ACTION, INSERTED, UPDATED
 
@@ -33,11 +34,8 @@ def unresolved(facts: DataFrame, tranches: DataFrame, loans: DataFrame) -> DataF
     marked = left.join(
         tranches.select(*TRANCHE, F.lit(True).alias("_tranche")), TRANCHE, "left"
     ).join(loans.select(*LOAN, F.lit(True).alias("_loan")), LOAN, "left")
-    reasons = F.array_compact(
-        F.array(
-            F.when(F.col("_loan").isNull(), F.lit("FK:numero_prestamo")),
-            F.when(F.col("_tranche").isNull(), F.lit("FK:numero_tramo")),
-        )
+    reasons = codes(
+        (F.col("_loan").isNull(), "FK:numero_prestamo"), (F.col("_tranche").isNull(), "FK:numero_tramo")
     )
     return marked.withColumn("reasons", reasons).select(*facts.columns, "reasons")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.jsontext import is_falsy, member, parse_strict, starts_object
+from strata.functions.jsontext import is_falsy, member, starts_object, with_document
 from strata.functions.moments import from_epoch_ms, iso_utc
 from strata.functions.numbers import int_or_zero
 
@@ -38,8 +38,7 @@ def with_metrics(runs: DataFrame, layer: str, output: str = "output") -> DataFra
     all; of a curated one the read count stays when only the written count is bad. Overrides are
     lost with any bad count.
     """
-    document = F.when(starts_object(F.col(output)), parse_strict(F.col(output)))
-    parsed = runs.withColumn("_m", document)
+    parsed = with_document(runs, F.when(starts_object(F.col(output)), F.col(output)), "_m")
     m = F.col("_m")
     if layer == "warehouse":
         parsed = parsed.withColumns({

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import Field, TableContract
+from strata.functions.codes import codes
 from strata.functions.moments import to_date_strict
 from strata.functions.text import blank_to_null
+from strata.operators.constraints import REASONS, accepted, checked, rejected
 
 ISSUES = "_issues"
 
@@ -28,15 +31,11 @@ def typed_records(records: DataFrame, fields: Iterable[Field], *keep: str) -> Da
     fields = list(fields)
     converted = [convert(f, F.col(f.name)).alias(f.name) for f in fields]
     lost = [
-        F.when(
-            blank_to_null(F.col(f.name)).isNotNull() & convert(f, F.col(f.name)).isNull(),
-            F.lit(f"CAST:{f.name}"),
-        )
+        (blank_to_null(F.col(f.name)).isNotNull() & convert(f, F.col(f.name)).isNull(), f"CAST:{f.name}")
         for f in fields
         if f.type != "string"
     ]
-    issues = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
-    return records.select(*keep, *converted, issues.alias(ISSUES))
+    return records.select(*keep, *converted, codes(*lost).alias(ISSUES))
 
 
 def latest_per_key(rows: DataFrame, keys: Iterable[str], order: Iterable[str] = ()) -> DataFrame:
@@ -65,27 +64,33 @@ def with_technical_columns(rows: DataFrame, execution_date: Column, batch_ts: Co
     })
 
 
-def entity_rows(records: DataFrame, contract: TableContract, order: Iterable[str] = ()) -> DataFrame:
-    """One entity out of flat typed records: its columns, one row per key.
+@dataclass(frozen=True)
+class Entity:
+    """Rows a table may take, one per key, and the rows it may not, with their ``reasons``."""
 
-    The winner is the greatest by ``order``, which may name record columns outside the contract.
-    Rows whose key is null are all kept, to be rejected by the contract checks.
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def entity(records: DataFrame, contract: TableContract, order: Iterable[str] = ()) -> Entity:
+    """One entity out of flat typed records.
+
+    Rows that break the contract are set aside first, so they never win over a good row of the
+    same key. The winner is the greatest by ``order``, which may name record columns outside the
+    contract, then by all columns.
     """
     order = list(order)
     carried = [c for c in order if c not in contract.names]
-    rows = records.select(*contract.names, *carried)
-    complete = F.lit(True)
-    for name in contract.key:
-        complete = complete & F.col(name).isNotNull()
-    keyed = latest_per_key(rows.filter(complete), contract.key, order)
-    return keyed.unionByName(rows.filter(~complete)).select(*contract.names)
+    checked_rows = checked(records.select(*contract.names, *carried), contract)
+    winners = latest_per_key(accepted(checked_rows), contract.key, order)
+    return Entity(winners.select(*contract.names), rejected(checked_rows).select(*contract.names, REASONS))
 
 
 def split_entities(
     records: DataFrame, contracts: dict[str, TableContract], order: Iterable[str] = ()
-) -> dict[str, DataFrame]:
+) -> dict[str, Entity]:
     """Every entity of the flat records; each reads only its own columns of them."""
-    return {name: entity_rows(records, contract, order) for name, contract in contracts.items()}
+    return {name: entity(records, contract, order) for name, contract in contracts.items()}
 
 
 def fill_month_year(rows: DataFrame, date: str = "fecha_corte", month: str = "mes_corte", year: str = "anio_corte") -> DataFrame:

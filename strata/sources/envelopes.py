@@ -7,21 +7,30 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.jsontext import member, parse_strict, result_items
+from strata.functions.jsontext import member, result_items, with_document
 
 
 def split_envelope(raw: DataFrame, content: str = "content") -> DataFrame:
     """Add ``metadata`` and ``payload`` as VARIANT, null where missing."""
     return (
-        raw.withColumn("_document", parse_strict(F.col(content)))
-        .withColumns({"metadata": member(F.col("_document"), "$.metadata"), "payload": member(F.col("_document"), "$.payload")})
+        with_document(raw, F.col(content), "_document")
+        .withColumns({
+            "metadata": member(F.col("_document"), "$.metadata"),
+            "payload": member(F.col("_document"), "$.payload"),
+        })
         .drop("_document")
     )
 
 
 def explode_results(envelopes: DataFrame, *keep: str | Column) -> DataFrame:
-    """One row per element of ``payload.results``, as VARIANT ``record`` with its place ``item``."""
-    return envelopes.select(*keep, F.posexplode(result_items(F.col("payload"))).alias("item", "record"))
+    """One row per element of ``payload.results``, as VARIANT ``record`` with its place ``item``.
+
+    The outer form keeps the optimizer from testing the array's size, and so parsing the
+    envelope once more, below the explode.
+    """
+    items = envelopes.select(*keep, result_items(F.col("payload")).alias("_items"))
+    kept = [c for c in items.columns if c != "_items"]
+    return items.select(*kept, F.posexplode_outer("_items").alias("item", "record")).filter("item is not null")
 
 
 def record_columns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.jsontext import is_falsy, member, parse_strict, result_items
+from strata.functions.jsontext import is_falsy, member, result_items, with_document
 
 # Fixed value: pages read at most when a ceiling is asked for.
 DEFAULT_MAX_PAGES = 166
@@ -22,7 +22,7 @@ def with_record_count(pages: DataFrame, payload: str = "payload") -> DataFrame:
     items = result_items(F.col("_document"))
     is_object = F.coalesce(F.col(payload).rlike(r"^[ \t\n\r]*\{"), F.lit(False))
     return (
-        pages.withColumn("_document", parse_strict(F.col(payload)))
+        with_document(pages, F.col(payload), "_document")
         .withColumn(
             "records",
             F.when(F.col("_document").isNull() | ~is_object, F.lit(None).cast("long"))
