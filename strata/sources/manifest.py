@@ -29,22 +29,21 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(path)
-            .select("path", "length", "content")
+            .select(F.col("_metadata.file_path").alias("uri"), "length", "content")
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise PathMissing(path) from error
         raise
-    listed = files.inputFiles()
-    if not listed:
-        return files
-    names = spark.createDataFrame([(name,) for name in listed], "path string")
-    decoded = names.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"))
-    # One row per listed file on either side, joined on the name alone.
-    empty = decoded.join(files.select("path"), "path", "left_anti").select(
-        "path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content")
+    # The names the file index holds on the driver already; contents are not read for the join.
+    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "uri string").select(
+        F.regexp_replace("uri", "^file:/+", "file:/").alias("uri")
     )
-    return files.unionByName(empty)
+    empty = listed.join(files.select("uri"), "uri", "left_anti").select(
+        "uri", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content")
+    )
+    path = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    return files.unionByName(empty).select(path.alias("path"), "length", "content")
 
 
 def table_manifest(raw_pages: DataFrame) -> DataFrame:

@@ -39,18 +39,24 @@ def keep_pages(
     page: str = "page",
     records: str = "records",
     max_pages: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Pages before the first empty or missing page number, up to ``max_pages``.
 
     ``records`` is the number of results on the page. Reading stops at the first page without
     any, so later pages are dropped even when they hold results. A null count marks a page that
-    could not be understood; reaching one is an error.
+    could not be understood; reaching one is an error. ``counted`` gives the counts in a frame of
+    their own, so that the pages themselves need no parsing here.
     """
     numbers = F.col(page)
-    wanted = pages.filter(numbers >= 1)
-    if max_pages is not None:
-        wanted = wanted.filter(numbers <= max_pages)
-    cut = _first_stop(wanted, numbers, F.col(records)).scalar()
+
+    def readable(rows: DataFrame) -> DataFrame:
+        rows = rows.filter(numbers >= 1)
+        return rows if max_pages is None else rows.filter(numbers <= max_pages)
+
+    wanted = readable(pages)
+    source = wanted if counted is None else readable(counted)
+    cut = _first_stop(source, numbers, F.col(records)).scalar()
     reached_bad = F.raise_error(F.format_string("page %d holds no JSON object", cut["page"]))
     before = F.when(cut["bad"], reached_bad.cast("boolean")).otherwise(numbers < cut["page"])
     return wanted.filter(before)
