@@ -500,7 +500,7 @@ def q22_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("execution_date"),
         F.col("ts").cast("timestamp").alias("started_at_utc"),
     )
-    opened = lifecycle.started(begun, 0, ["event_id"]).drop("event_id")
+    opened = lifecycle.started(keys.assign_keys(begun, ["event_id"], "audit_id"))
     failed = F.col("stage") == "error"
     ended = lifecycle.closed(
         opened.filter("stage <> 'view'"),

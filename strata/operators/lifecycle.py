@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import PIPELINE_RUNS
-from strata.operators.keys import assign_keys
 
 # States of a run.
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
@@ -15,10 +14,9 @@ STATES = (STARTED, SUCCESS, FAILED)
 EVENT_COLUMNS = PIPELINE_RUNS.names
 
 
-def started(runs: DataFrame, start: Column | int, natural_key: list[str]) -> DataFrame:
-    """STARTED rows with fresh ids; ``runs`` names pipeline, stage, dataset, date and start time."""
-    numbered = assign_keys(runs, natural_key, "audit_id", start)
-    return numbered.withColumns({
+def started(runs: DataFrame) -> DataFrame:
+    """STARTED rows; ``runs`` gives a fresh ``audit_id``, pipeline, stage, dataset, date and start time."""
+    return runs.withColumns({
         "status": F.lit(STARTED),
         "pages_expected": F.lit(None).cast("int"),
         "pages_loaded": F.lit(None).cast("int"),
@@ -26,7 +24,7 @@ def started(runs: DataFrame, start: Column | int, natural_key: list[str]) -> Dat
         "ended_at_utc": F.lit(None).cast("timestamp"),
         "error_message": F.lit(None).cast("string"),
         "created_at_utc": F.col("started_at_utc"),
-    }).select(*EVENT_COLUMNS, *[c for c in natural_key if c not in EVENT_COLUMNS])
+    }).select(*EVENT_COLUMNS)
 
 
 def closed(

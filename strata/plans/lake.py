@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,8 @@ class Lake:
     def layer(self, layer: str, entity: str) -> str:
         return f"{self.root}/{layer}/{self.dataset}/{entity}"
 
-    def quarantine(self, layer: str, entity: str) -> str:
-        return f"{self.root}/quarantine/{self.dataset}/{layer}/{entity}"
+    def quarantine(self, layer: str) -> str:
+        return f"{self.root}/quarantine/{self.dataset}/{layer}"
 
     @property
     def logs(self) -> str:
@@ -51,21 +52,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
-def replace_partition(rows: DataFrame, path: str, execution_date: str, order: tuple[str, ...] = ()) -> int:
-    """Write the rows of one execution date in place of what that date held; their number.
+def replace_partition(rows: DataFrame, path: str, execution_date: str, order: tuple[str, ...] = ()) -> None:
+    """Write the rows of one execution date in place of what that date held, none included.
 
-    The rows must not come from ``path`` itself. The number is read back from the file footers,
-    so a task that ran twice is not counted twice. A date that had rows and gets none is emptied.
+    The rows must not come from ``path`` itself.
     """
-    spark = rows.sparkSession
     sorted_rows = rows.sortWithinPartitions(*order) if order else rows
-    (
-        sorted_rows.drop(PARTITION)
-        .write.mode("overwrite")
-        .parquet(f"{path}/{PARTITION}={execution_date}")
-    )
-    stored = [f for f in rows.schema.fields if f.name != PARTITION]
-    return spark.read.schema(T.StructType(stored)).parquet(f"{path}/{PARTITION}={execution_date}").count()
+    sorted_rows.drop(PARTITION).write.mode("overwrite").parquet(f"{path}/{PARTITION}={execution_date}")
+
+
+def written_rows(spark: SparkSession, paths: list[str], execution_date: str) -> int:
+    """Rows the paths hold for the date, from the files themselves: a task that ran twice counts once."""
+    parts = [
+        spark.read.schema("_none boolean").parquet(f"{path}/{PARTITION}={execution_date}") for path in paths
+    ]
+    return reduce(DataFrame.union, parts).count()
 
 
 def partition(spark: SparkSession, path: str, schema: T.StructType, execution_date: str) -> DataFrame:

@@ -59,10 +59,10 @@ def _now() -> dt.datetime:
 def _begin(spark: SparkSession, lake: Lake, run: Run, stage: str, began: dt.datetime) -> DataFrame:
     last = spark.table(PIPELINE_RUNS.full_name).agg(F.max("audit_id")).first()[0] or 0
     begun = spark.createDataFrame(
-        [(run.dag_id, stage, lake.dataset, run.execution_date, began)],
-        "pipeline_name string, stage string, dataset_name string, execution_date string, started_at_utc timestamp",
+        [(last + 1, run.dag_id, stage, lake.dataset, run.execution_date, began)],
+        "audit_id bigint, pipeline_name string, stage string, dataset_name string, execution_date string, started_at_utc timestamp",
     ).withColumn("execution_date", F.col("execution_date").try_cast("date"))
-    opened = lifecycle.started(begun, last, ["pipeline_name", "stage"])
+    opened = lifecycle.started(begun)
     _append(opened, PIPELINE_RUNS.full_name)
     return opened
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from strata.functions.hashing import request_hash
 from strata.operators import facts as fact_ops
 from strata.operators import raw, records, standard, upsert, validation
 from strata.operators.constraints import REASONS
-from strata.plans.lake import RAW_SCHEMA, Lake, partition, replace_partition
+from strata.plans.lake import RAW_SCHEMA, Lake, partition, replace_partition, written_rows
 from strata.plans.tables import create_tables, highest_key, note_highest_key, publish
 from strata.session import drop_path, materialise
 from strata.sources import envelopes, layers, manifest, pages
@@ -151,36 +152,48 @@ def staging(
     flat, scratch = materialise(
         records.with_technical_columns(typed, F.lit(execution_date), batch_ts), "records"
     )
-    counts = {"rows_read": flat.count(), "rows_written": 0, "rows_quarantined": 0}
-    lost = flat.filter(F.size(records.ISSUES) > 0)
-    counts["rows_with_lost_values"] = replace_partition(
-        lost, lake.quarantine("staging", "values"), execution_date
-    )
-    for name, split in records.split_entities(flat, STAGING, ("fecha_corte",)).items():
-        counts["rows_written"] += replace_partition(
-            split.rows, lake.layer("staging", name), execution_date, STAGING[name].order
-        )
-        counts["rows_quarantined"] += replace_partition(
-            split.rejects, lake.quarantine("staging", name), execution_date
-        )
+    lost = flat.filter(F.size(records.ISSUES) > 0).select(*names, F.col(records.ISSUES).alias(REASONS))
+    splits = records.split_entities(flat, STAGING, ("fecha_corte",))
+    counts = {"rows_read": flat.count(), **_write_entities(spark, lake, "staging", splits, execution_date)}
+    _write_rejects(lake, "staging_values", {"record": lost}, execution_date)
+    counts["rows_with_lost_values"] = written_rows(spark, [lake.quarantine("staging_values")], execution_date)
     drop_path(spark, scratch)
     return counts
 
 
+def _write_rejects(lake: Lake, layer: str, rejects: dict[str, DataFrame], execution_date: str) -> None:
+    """Refused rows of all entities in one place: the rules they break and the row as JSON."""
+    shown = [
+        rows.select(
+            F.lit(name).alias("entity"),
+            REASONS,
+            F.to_json(F.struct(*[c for c in rows.columns if c != REASONS])).alias("row"),
+        )
+        for name, rows in rejects.items()
+    ]
+    replace_partition(reduce(DataFrame.unionByName, shown), lake.quarantine(layer), execution_date)
+
+
+def _write_entities(
+    spark: SparkSession, lake: Lake, layer: str, splits: dict[str, records.Entity], execution_date: str
+) -> dict[str, int]:
+    for name, split in splits.items():
+        replace_partition(split.rows, lake.layer(layer, name), execution_date, STAGING[name].order)
+    _write_rejects(lake, layer, {name: split.rejects for name, split in splits.items()}, execution_date)
+    return {
+        "rows_written": written_rows(spark, [lake.layer(layer, name) for name in splits], execution_date),
+        "rows_quarantined": written_rows(spark, [lake.quarantine(layer)], execution_date),
+    }
+
+
 def curated(spark: SparkSession, lake: Lake, *, execution_date: str) -> dict[str, int]:
     """Staging partitions standardised, checked and deduplicated once more."""
-    counts = {"rows_read": 0, "rows_written": 0, "rows_quarantined": 0}
+    splits = {}
     for name, contract in STAGING.items():
         rows = partition(spark, lake.layer("staging", name), contract.schema, execution_date)
-        counts["rows_read"] += rows.count()
-        split = records.entity(standard.standardise(rows, contract), contract)
-        counts["rows_written"] += replace_partition(
-            split.rows, lake.layer("curated", name), execution_date, contract.order
-        )
-        counts["rows_quarantined"] += replace_partition(
-            split.rejects, lake.quarantine("curated", name), execution_date
-        )
-    return counts
+        splits[name] = records.entity(standard.standardise(rows, contract), contract)
+    read = written_rows(spark, [lake.layer("staging", name) for name in STAGING], execution_date)
+    return {"rows_read": read, **_write_entities(spark, lake, "curated", splits, execution_date)}
 
 
 def _curated(spark: SparkSession, lake: Lake, name: str, execution_date: str) -> DataFrame:
@@ -209,9 +222,8 @@ def load_fact(spark: SparkSession, lake: Lake, *, execution_date: str, batch_ts:
     loans = spark.table(DIMENSIONS["prestamo"].full_name)
     tranches = spark.table(DIMENSIONS["tramo"].full_name)
     debts = records.fill_month_year(_curated(spark, lake, "deuda_corte", execution_date)).drop("ingestion_timestamp")
-    missing = replace_partition(
-        fact_ops.unresolved(debts, tranches, loans), lake.quarantine("warehouse", FACT.name), execution_date
-    )
+    _write_rejects(lake, "warehouse", {FACT.name: fact_ops.unresolved(debts, tranches, loans)}, execution_date)
+    missing = written_rows(spark, [lake.quarantine("warehouse")], execution_date)
     present = layers.of_date(spark.table(FACT.full_name), execution_date)
     first_load = present.isEmpty()
     start = highest_key(spark, FACT) or 0
@@ -239,15 +251,14 @@ def warehouse(
 ) -> dict[str, int]:
     """Model, five dimensions, fact; counts over all of them."""
     create_tables(spark, lake)
-    totals = {"rows_read": 0, "rows_inserted": 0, "rows_updated": 0, "rows_quarantined": 0}
+    read = written_rows(spark, [lake.layer("curated", name) for name in STAGING], execution_date)
+    totals = {"rows_read": read, "rows_inserted": 0, "rows_updated": 0, "rows_quarantined": 0}
     for name in DIMENSIONS:
-        totals["rows_read"] += _curated(spark, lake, name, execution_date).count()
         counts = load_dimension(
             spark, lake, name, execution_date=execution_date, batch_ts=batch_ts, count=count
         )
         totals["rows_inserted"] += counts.get(upsert.INSERTED, 0)
         totals["rows_updated"] += counts.get(upsert.UPDATED, 0)
-    totals["rows_read"] += _curated(spark, lake, "deuda_corte", execution_date).count()
     counts = load_fact(spark, lake, execution_date=execution_date, batch_ts=batch_ts)
     totals["rows_inserted"] += counts.get(upsert.INSERTED, 0)
     totals["rows_updated"] += counts.get(upsert.UPDATED, 0)
