@@ -170,10 +170,9 @@ def q08_explode_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = raw.envelope(
         F.struct(F.lit(DATE).alias("execution_date")), F.to_json(F.struct("results"))
     )
-    split = envelopes.split_envelope(packed.select("conv_id", content.alias("content")))
-    exploded = envelopes.explode_results(split, "conv_id")
-    return envelopes.record_columns(exploded, ["turn", "role", "text"], "conv_id").withColumn(
-        "turn", F.col("turn").cast("bigint")
+    documents = packed.select("conv_id", content.alias("content"))
+    return envelopes.result_records(documents, ["turn", "role", "text"], "conv_id").select(
+        "conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text"
     )
 
 
@@ -312,6 +311,11 @@ def _loan_load(orders: DataFrame, target: DataFrame | None, date: str, stamp: st
     )
 
 
+def _stored(loaded: DataFrame) -> DataFrame:
+    """The state a load leaves behind: a written table, which the next load reads."""
+    return materialise(loaded.drop(upsert.ACTION), "loaded")[0]
+
+
 def _two_loads(spark: SparkSession, sf_dir: str, **more) -> DataFrame:
     """Orders up to 1997, then those from 1997 on, the urgent ones with another status."""
     orders = table(spark, sf_dir, "orders")
@@ -319,7 +323,7 @@ def _two_loads(spark: SparkSession, sf_dir: str, **more) -> DataFrame:
     second = orders.filter("o_orderdate >= timestamp_ntz'1997-01-01 00:00:00'").withColumn(
         "o_orderstatus", F.when(F.col("o_orderpriority") == "1-URGENT", "X").otherwise(F.col("o_orderstatus"))
     )
-    loaded = _loan_load(first, None, DATE, BATCH_TS, start=0).drop(upsert.ACTION)
+    loaded = _stored(_loan_load(first, None, DATE, BATCH_TS, start=0))
     return _loan_load(second, loaded, NEXT_DATE, NEXT_TS, **more)
 
 
@@ -339,7 +343,7 @@ def q16b_late_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older date loaded after a newer one leaves members as they are and adds missing ones."""
     orders = table(spark, sf_dir, "orders")
     newer = orders.filter("o_orderdate < timestamp_ntz'1998-01-01 00:00:00'")
-    loaded = _loan_load(newer, None, NEXT_DATE, BATCH_TS, start=0).drop(upsert.ACTION)
+    loaded = _stored(_loan_load(newer, None, NEXT_DATE, BATCH_TS, start=0))
     late = orders.withColumn("o_orderstatus", F.lit("late"))
     return portable(_loan_load(late, loaded, DATE, NEXT_TS)).select(
         "prestamo_key", "numero_prestamo", "fuente_deuda", "last_execution_date", upsert.ACTION
@@ -364,7 +368,9 @@ def _resolved_debts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q17_fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = facts.load_snapshot(_resolved_debts(spark, sf_dir), None, batch_ts=moment(BATCH_TS), start=0)
+    # Numbering reads its rows twice, so what comes before is computed once and written.
+    resolved, _ = materialise(_resolved_debts(spark, sf_dir), "resolved")
+    loaded = facts.load_snapshot(resolved, None, batch_ts=moment(BATCH_TS), start=0)
     return portable(
         loaded.select(
             "deuda_corte_key",
@@ -382,10 +388,11 @@ def q17_fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keyed_debts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Debts with stand-in references; the lookup itself is q17's matter."""
-    return _debts(spark, sf_dir).withColumns({
+    """Debts with stand-in references, as a stored table; the lookup itself is q17's matter."""
+    keyed = _debts(spark, sf_dir).withColumns({
         "prestamo_key": F.col("numero_prestamo").cast("bigint"), "tramo_key": F.col("numero_tramo").cast("bigint")
     })
+    return materialise(keyed, "debts")[0]
 
 
 _STATE = ("deuda_corte_key", *FACT.key, "monto_tramo", "created_at_utc", "updated_at_utc", upsert.ACTION)
@@ -395,7 +402,7 @@ def q18_fact_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A date first loaded in part, then whole: known rows keep their keys."""
     debts = _keyed_debts(spark, sf_dir)
     part = debts.filter("fecha_corte < date'1999-01-01'")
-    first = facts.load_snapshot(part, None, batch_ts=moment(BATCH_TS), start=0).drop(upsert.ACTION)
+    first = _stored(facts.load_snapshot(part, None, batch_ts=moment(BATCH_TS), start=0))
     again = facts.load_snapshot(
         debts, first, batch_ts=moment(NEXT_TS), start=keys.highest_key(first, FACT.surrogate)
     )
@@ -500,7 +507,7 @@ def q22_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("execution_date"),
         F.col("ts").cast("timestamp").alias("started_at_utc"),
     )
-    opened = lifecycle.started(keys.assign_keys(begun, ["event_id"], "audit_id"))
+    opened, _ = materialise(lifecycle.started(keys.assign_keys(begun, ["event_id"], "audit_id")), "started")
     failed = F.col("stage") == "error"
     ended = lifecycle.closed(
         opened.filter("stage <> 'view'"),
@@ -677,10 +684,9 @@ def q29_raw_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(DATE).alias("execution_date")), F.to_json(F.struct(F.array(F.struct("*")).alias("results")))
     )
     documents = flat.select(content.alias("content"))
-    exploded = envelopes.explode_results(envelopes.split_envelope(documents))
     names = [n for n in record_fields() if n in set(_BUSINESS["prestamo"]) | set(_BUSINESS["deuda_corte"])]
     fields = {f.name: f for c in ("prestamo", "deuda_corte") for f in STAGING[c].fields}
-    typed_rows = records.typed_records(envelopes.record_columns(exploded, names), [fields[n] for n in names])
+    typed_rows = records.typed_records(envelopes.result_records(documents, names), [fields[n] for n in names])
     # Parsed once: the entities below read single columns of the written copy.
     staged, _ = materialise(_technical(typed_rows), "records")
 
@@ -689,10 +695,10 @@ def q29_raw_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         return records.entity(tidy, STAGING[name]).rows
 
     loans = curated("prestamo", "fecha_corte")
-    debts = curated("deuda_corte", "monto_tramo")
+    debts, _ = materialise(records.fill_month_year(curated("deuda_corte", "monto_tramo").drop("ingestion_timestamp")), "debts")
     dim_loans = keys.assign_keys(loans.select("numero_prestamo"), facts.LOAN, "prestamo_key")
     dim_tranches = keys.assign_keys(debts.select(*facts.TRANCHE).distinct(), facts.TRANCHE, "tramo_key")
-    resolved = facts.with_reference_keys(records.fill_month_year(debts.drop("ingestion_timestamp")), dim_tranches, dim_loans)
+    resolved, _ = materialise(facts.with_reference_keys(debts, dim_tranches, dim_loans), "resolved")
     loaded = facts.load_snapshot(resolved, None, batch_ts=moment(BATCH_TS), start=0)
     return portable(
         loaded.select("deuda_corte_key", "prestamo_key", "tramo_key", *facts.TRANCHE, "fecha_corte", "mes_corte", "monto_prestamo", "monto_tramo")

@@ -22,9 +22,10 @@ def assign_keys(
     """Number rows of distinct natural keys ``start + 1, start + 2, ..`` in ``(bucket, key)`` order.
 
     Each bucket is numbered on its own and shifted by the rows in the buckets before it. Natural
-    keys are distinct, so hashing spreads them evenly, and no task sees all rows. The frame of
-    shifts has at most ``buckets`` rows, which bounds both its window and its broadcast. Rows and
-    shifts are functions of the data alone: a task that runs again gives the same numbers.
+    keys are distinct, so hashing spreads them evenly, and no task sees all rows. Numbers are a
+    function of the data alone: a task that runs again gives the same ones.
+
+    ``rows`` is evaluated twice, once for its keys alone. Give a stored table where it is costly.
     """
     keys = list(keys)
     if not 0 < buckets <= 65536:
@@ -32,22 +33,25 @@ def assign_keys(
     if not isinstance(start, Column):
         start = F.lit(start)
     bucketed = rows.withColumn("_bucket", key_bucket(keys, buckets))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        rows.select(key_bucket(keys, buckets).alias("_bucket"))
-        .groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
-    )
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+    shifts = _rows_before(rows.select(key_bucket(keys, buckets).alias("_bucket")))
     return (
         bucketed.withColumn("_place", place)
         .join(F.broadcast(shifts), "_bucket")
-        .withColumn(name, (start + F.col("_shift") + F.col("_place")).cast("bigint"))
-        .select(name, *rows.columns)
+        .select((start + F.col("_shift") + F.col("_place")).cast("bigint").alias(name), *rows.columns)
     )
 
 
+def _rows_before(buckets: DataFrame) -> DataFrame:
+    """Per bucket the rows in the buckets before it.
+
+    One row per bucket at most: that bounds the window over all of them and the broadcast.
+    """
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = buckets.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+
+
 def highest_key(table: DataFrame, name: str) -> Column:
     """The highest key in use, 0 for an empty table, as a scalar subquery."""
     return table.agg(F.coalesce(F.max(name), F.lit(0).cast("bigint"))).scalar()

@@ -146,8 +146,8 @@ def staging(
     """
     fields = {f.name: f for contract in STAGING.values() for f in contract.fields}
     names = record_fields()
-    envelopes_ = envelopes.split_envelope(partition(spark, lake.raw_table, RAW_SCHEMA, execution_date))
-    texts = envelopes.record_columns(envelopes.explode_results(envelopes_), names, source_names=source_names)
+    raw_rows = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
+    texts = envelopes.result_records(raw_rows, names, source_names=source_names)
     typed = records.typed_records(texts, [fields[name] for name in names])
     flat, scratch = materialise(
         records.with_technical_columns(typed, F.lit(execution_date), batch_ts), "records"
@@ -227,23 +227,25 @@ def load_fact(spark: SparkSession, lake: Lake, *, execution_date: str, batch_ts:
     present = layers.of_date(spark.table(FACT.full_name), execution_date)
     first_load = present.isEmpty()
     start = highest_key(spark, FACT) or 0
-    snapshot = fact_ops.load_snapshot(
-        fact_ops.with_reference_keys(debts, tranches, loans),
-        None if first_load else present,
-        batch_ts=batch_ts,
-        start=start,
-    )
-    # Written aside first: a rerun reads the partition it is about to replace.
-    rows, scratch = materialise(snapshot, "snapshot")
-    counts = {row[upsert.ACTION]: row["count"] for row in rows.groupBy(upsert.ACTION).count().collect()}
-    note_highest_key(spark, FACT, start + counts.get(upsert.INSERTED, 0))
-    ordered = rows.select(*FACT.names).sortWithinPartitions(*FACT.order)
-    if sum(counts.values()):
+    # Resolved facts are read more than once, and a rerun replaces the partition whose keys it
+    # takes over: both are written aside first.
+    resolved, scratch = materialise(fact_ops.with_reference_keys(debts, tranches, loans), "resolved")
+    known = known_scratch = None
+    if not first_load:
+        known, known_scratch = materialise(present.select(*FACT.key, FACT.surrogate, "created_at_utc"), "known")
+    snapshot = fact_ops.load_snapshot(resolved, known, batch_ts=batch_ts, start=start)
+    total = resolved.count()
+    updated = 0 if first_load else resolved.join(known, list(FACT.key), "left_semi").count()
+    note_highest_key(spark, FACT, start + total - updated)
+    if total:
+        ordered = snapshot.select(*FACT.names).sortWithinPartitions(*FACT.order)
         ordered.write.insertInto(FACT.full_name, overwrite=True)
     elif not first_load:
         spark.sql(f"ALTER TABLE {FACT.full_name} DROP IF EXISTS PARTITION (execution_date = '{execution_date}')")
     drop_path(spark, scratch)
-    return {**counts, "quarantined": missing}
+    if known_scratch:
+        drop_path(spark, known_scratch)
+    return {upsert.INSERTED: total - updated, upsert.UPDATED: updated, "quarantined": missing}
 
 
 def warehouse(

@@ -1,44 +1,35 @@
-"""Raw envelopes ``{"metadata": .., "payload": ..}`` and the records inside them."""
+"""Raw envelopes ``{"metadata": .., "payload": {"results": [..]}}`` and the records inside them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.functions.jsontext import member, result_items, with_document
 
+def result_records(
+    raw: DataFrame,
+    names: Iterable[str],
+    *keep: str,
+    content: str = "content",
+    source_names: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row per element of ``payload.results``: its named members as text, and its place ``item``.
 
-def split_envelope(raw: DataFrame, content: str = "content") -> DataFrame:
-    """Add ``metadata`` and ``payload`` as VARIANT, null where missing."""
-    return (
-        with_document(raw, F.col(content), "_document")
-        .withColumns({
-            "metadata": member(F.col("_document"), "$.metadata"),
-            "payload": member(F.col("_document"), "$.payload"),
-        })
-        .drop("_document")
-    )
-
-
-def explode_results(envelopes: DataFrame, *keep: str | Column) -> DataFrame:
-    """One row per element of ``payload.results``, as VARIANT ``record`` with its place ``item``.
-
-    The outer form keeps the optimizer from testing the array's size, and so parsing the
-    envelope once more, below the explode.
+    ``source_names`` maps a column to the member it comes from. Members are read as text in one
+    pass over the document, numbers as they are written. The outer form of the explode keeps the
+    optimizer from testing the array's size, and so parsing the document once more, below it.
     """
-    items = envelopes.select(*keep, result_items(F.col("payload")).alias("_items"))
-    kept = [c for c in items.columns if c != "_items"]
-    return items.select(*kept, F.posexplode_outer("_items").alias("item", "record")).filter("item is not null")
-
-
-def record_columns(
-    records: DataFrame, names: Iterable[str], *keep: str | Column, source_names: Mapping[str, str] | None = None
-) -> DataFrame:
-    """Named members of each record as text; ``source_names`` maps a column to its record member."""
     source_names = source_names or {}
-    members = [
-        F.try_variant_get("record", f"$.{source_names.get(name, name)}", "string").alias(name) for name in names
-    ]
-    return records.select(*keep, *members)
+    names = list(names)
+    members = {name: source_names.get(name, name) for name in names}
+    record = T.StructType([T.StructField(m, T.StringType()) for m in dict.fromkeys(members.values())])
+    payload = T.StructType([T.StructField("results", T.ArrayType(record))])
+    envelope = T.StructType([T.StructField("payload", payload)])
+    parsed = raw.select(*keep, F.from_json(content, envelope)["payload"]["results"].alias("_results"))
+    exploded = parsed.select(*keep, F.posexplode_outer("_results").alias("item", "record"))
+    return exploded.filter("item is not null").select(
+        *keep, "item", *[F.col("record")[member].alias(name) for name, member in members.items()]
+    )
