@@ -19,7 +19,7 @@ def result_records(
     """One row per element of ``payload.results``: its named members as text, and its place ``item``.
 
     ``source_names`` maps a column to the member it comes from. Members are read as text in one
-    pass over the document, numbers as they are written. The outer form of the explode keeps the
+    pass over the document. The outer form of the explode keeps the
     optimizer from testing the array's size, and so parsing the document once more, below it.
     """
     source_names = source_names or {}
