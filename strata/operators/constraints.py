@@ -13,17 +13,23 @@ from strata.functions.codes import codes
 REASONS = "reasons"
 
 
+def _breaches(contract: TableContract, columns: Iterable[str], octets: bool) -> list[tuple[Column, str]]:
+    """Condition and code of every rule on the columns that are there; a null breaks no width."""
+    present = set(columns)
+    size = F.octet_length if octets else F.length
+    fields = [f for f in contract.fields if f.name in present]
+    found = [(F.col(f.name).isNull(), f"NOT_NULL:{f.name}") for f in fields if f.required]
+    return found + [
+        (F.col(f.name).isNotNull() & (size(F.col(f.name)) > f.width), f"WIDTH:{f.name}") for f in fields if f.width
+    ]
+
+
 def reasons(contract: TableContract, columns: Iterable[str], *, octets: bool = False) -> Column:
     """Codes of the rules a row breaks: ``NOT_NULL:<column>`` first, then ``WIDTH:<column>``.
 
     Width counts characters, or bytes with ``octets``.
     """
-    present = set(columns)
-    size = F.octet_length if octets else F.length
-    fields = [f for f in contract.fields if f.name in present]
-    broken = [(F.col(f.name).isNull(), f"NOT_NULL:{f.name}") for f in fields if f.required]
-    broken += [(size(F.col(f.name)) > f.width, f"WIDTH:{f.name}") for f in fields if f.width]
-    return codes(*broken)
+    return codes(*_breaches(contract, columns, octets))
 
 
 def checked(rows: DataFrame, contract: TableContract, *, octets: bool = False) -> DataFrame:
@@ -31,12 +37,19 @@ def checked(rows: DataFrame, contract: TableContract, *, octets: bool = False) -
     return rows.withColumn(REASONS, reasons(contract, rows.columns, octets=octets))
 
 
-def accepted(checked_rows: DataFrame) -> DataFrame:
-    return checked_rows.filter(F.size(REASONS) == 0).drop(REASONS)
+def accepted(rows: DataFrame, contract: TableContract, *, octets: bool = False) -> DataFrame:
+    """Rows that break no rule; plain conditions, so that null tests reach the scan."""
+    for condition, _ in _breaches(contract, rows.columns, octets):
+        rows = rows.filter(~condition)
+    return rows
 
 
-def rejected(checked_rows: DataFrame) -> DataFrame:
-    return checked_rows.filter(F.size(REASONS) > 0)
+def rejected(rows: DataFrame, contract: TableContract, *, octets: bool = False) -> DataFrame:
+    """Rows that break a rule, with their ``reasons``."""
+    broken = F.lit(False)
+    for condition, _ in _breaches(contract, rows.columns, octets):
+        broken = broken | condition
+    return checked(rows.filter(broken), contract, octets=octets)
 
 
 def key_violations(rows: DataFrame, keys: Iterable[str]) -> DataFrame:

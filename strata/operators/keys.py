@@ -11,9 +11,13 @@ BUCKETS = 4096
 
 
 def key_bucket(keys: Iterable[str], buckets: int = BUCKETS) -> Column:
-    """A bucket number that depends on the natural key alone."""
+    """A bucket number that depends on the natural key alone.
+
+    It is never null, and says so: else a test for null would hash every row at the scan too.
+    """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    return F.pmod(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"), F.lit(buckets))
+    number = F.pmod(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"), F.lit(buckets))
+    return F.coalesce(number, F.lit(0))
 
 
 def assign_keys(

@@ -12,7 +12,7 @@ from strata.contracts import Field, TableContract
 from strata.functions.codes import codes
 from strata.functions.moments import to_date_strict
 from strata.functions.text import blank_to_null
-from strata.operators.constraints import REASONS, accepted, checked, rejected
+from strata.operators.constraints import REASONS, accepted, rejected
 
 ISSUES = "_issues"
 
@@ -81,9 +81,9 @@ def entity(records: DataFrame, contract: TableContract, order: Iterable[str] = (
     """
     order = list(order)
     carried = [c for c in order if c not in contract.names]
-    checked_rows = checked(records.select(*contract.names, *carried), contract)
-    winners = latest_per_key(accepted(checked_rows), contract.key, order)
-    return Entity(winners.select(*contract.names), rejected(checked_rows).select(*contract.names, REASONS))
+    rows = records.select(*contract.names, *carried)
+    winners = latest_per_key(accepted(rows, contract), contract.key, order)
+    return Entity(winners.select(*contract.names), rejected(rows, contract).select(*contract.names, REASONS))
 
 
 def split_entities(
