@@ -691,12 +691,12 @@ def q29_raw_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged, _ = materialise(_technical(typed_rows), "records")
 
     def curated(name: str, order: str) -> DataFrame:
-        tidy = standard.standardise(records.entity(staged, STAGING[name], (order,)).rows, STAGING[name])
-        return records.entity(tidy, STAGING[name]).rows
+        tidy = standard.standardise(staged, STAGING[name])
+        return records.entity(tidy, STAGING[name], (order,)).rows
 
-    loans = curated("prestamo", "fecha_corte")
+    loans, _ = materialise(curated("prestamo", "fecha_corte").select("numero_prestamo"), "loans")
     debts, _ = materialise(records.fill_month_year(curated("deuda_corte", "monto_tramo").drop("ingestion_timestamp")), "debts")
-    dim_loans = keys.assign_keys(loans.select("numero_prestamo"), facts.LOAN, "prestamo_key")
+    dim_loans = keys.assign_keys(loans, facts.LOAN, "prestamo_key")
     dim_tranches = keys.assign_keys(debts.select(*facts.TRANCHE).distinct(), facts.TRANCHE, "tramo_key")
     resolved, _ = materialise(facts.with_reference_keys(debts, dim_tranches, dim_loans), "resolved")
     loaded = facts.load_snapshot(resolved, None, batch_ts=moment(BATCH_TS), start=0)
