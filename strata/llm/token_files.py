@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.tokens import encoder, slices
+from strata.llm.tokens import SLICE_BYTES, encoder, slices
 
 #: The seekable format's numbers. Fixed values.
 SKIPPABLE = 0x184D2A5E
@@ -116,7 +116,7 @@ def write(docs: DataFrame, tokenizer: str, to: str, *, key: str = "doc_id", text
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.zst"
         for whole in batches:
-            for batch in slices(whole, 1, 16 << 20):
+            for batch in slices(whole, 1, SLICE_BYTES):
                 if writer is None and len(batch):
                     store, root = opened(to)
                     store.create_dir(f"{root}/frames", recursive=True)

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Words that a worker keeps at most; beyond that it starts anew.
-MOST_WORDS = 800_000
+MOST_WORDS = 400_000
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 4 << 20
 
 #: White space of the tokenizers but for a blank and a line end, and the control characters that Arrow and Python
 #: alone take for white space. Fixed values.
@@ -106,7 +108,7 @@ def encoded(docs: DataFrame, key: str, text: str, path: str, per_text: Callable[
         own = encoder(path)
         shape = None
         for whole in batches:
-            for batch in slices(whole, 1, 16 << 20):
+            for batch in slices(whole, 1, SLICE_BYTES):
                 keys, rows = [], []
                 for k, ids in zip(batch.column(0).to_pylist(), own.batch(batch.column(1)), strict=True):
                     for row in per_text(ids):
@@ -116,6 +118,7 @@ def encoded(docs: DataFrame, key: str, text: str, path: str, per_text: Callable[
                     shape = shape or batch.schema.field(0).type
                     columns = [pa.array(keys, shape)] + [_array(name, [r[name] for r in rows]) for name in rows[0]]
                     yield pa.RecordBatch.from_arrays(columns, ["_key", *rows[0]])
+                    pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(run, f"_key {kind}, {schema}")
 
