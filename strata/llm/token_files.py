@@ -37,7 +37,7 @@ READ_FRAMES = 64
 class FrameWriter:
     """Writes frames to a stream; holds one open frame and the seek table."""
 
-    def __init__(self, stream, level: int = 3):
+    def __init__(self, stream, level: int = 1):
         self.stream = stream
         self.packer = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
         self.table: list[tuple[int, int, int]] = []

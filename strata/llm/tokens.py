@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Words that a worker keeps at most; beyond that it starts anew.
-MOST_WORDS = 400_000
+MOST_WORDS = 900_000
 #: Bytes of text that are encoded together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 
 #: White space of the tokenizers but for a blank and a line end, and the control characters that Arrow and Python
 #: alone take for white space. Fixed values.
@@ -28,6 +28,8 @@ _OTHER = "\\t\\r\\x0b\\x0c\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x
 #: A letter or digit before a mark of punctuation other than an apostrophe. Fixed values.
 _AFTER_WORD = r"([A-Za-z0-9])([.,;:!?%$&*#|()\-])"
 _MARK = "\x1f"
+#: More than the ids of any piece of a text.
+_SPAN = 1 << 32
 _CONTROL = "\\x1c-\\x1f"
 
 
@@ -38,7 +40,8 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.most_words = most_words
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, int] = {}
+        self.flat = array("I")
         probe = self.library.encode("a b", add_special_tokens=False).ids
         apart = [self.library.encode(x, add_special_tokens=False).ids for x in ("a", "b")]
         #: Whether blanks only separate words, or belong to the word after them.
@@ -47,15 +50,20 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _known(self, words: list[str]) -> list[bytes]:
+    def _known(self, words: list[str]) -> np.ndarray:
+        """Place in ``flat`` times ``_SPAN`` plus number of ids, of every word."""
         if len(self.words) > self.most_words:
             self.words.clear()
-        new = [w for w in words if w not in self.words]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.library.encode_batch_fast(part, add_special_tokens=False)
-            self.words.update(zip(part, [array("I", x.ids).tobytes() for x in found], strict=True))
-        return list(map(self.words.__getitem__, words))
+            self.flat = array("I")
+        found = list(map(self.words.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        for at in range(0, len(new), 5_000):
+            part = new[at : at + 5_000]
+            for i, x in zip(part, self.library.encode_batch_fast([words[i] for i in part], add_special_tokens=False), strict=True):
+                ids = x.ids
+                found[i] = self.words[words[i]] = len(self.flat) * _SPAN + len(ids)
+                self.flat.extend(ids)
+        return np.fromiter(found, dtype=np.int64, count=len(found))
 
     def batch(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text; nulls count as empty."""
@@ -71,13 +79,11 @@ class Encoder:
         words = cut.flatten().dictionary_encode()
         code = words.indices.to_numpy().astype(np.int64)
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
-        found = self._known(words.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
+        starts, sizes = np.divmod(self._known(words.dictionary.to_pylist()), _SPAN)
         each = sizes[code]
         ends = np.cumsum(each)
         at = np.repeat(starts[code] - (ends - each), each) + np.arange(len(code) and ends[-1])
-        ids = np.frombuffer(b"".join(found), dtype="<u4")[at]
+        ids = np.frombuffer(self.flat.tobytes(), dtype=np.uint32)[at].astype("<u4", copy=False)
         ends = np.concatenate([[0], ends])[bounds]
         return [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
