@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, ngram_join, packing, quality_rules, scratch
+from strata.llm import classifier, ngram_join, packing, quality_rules, scratch, shipping
 
 #: Documents whose probability of good quality is lower are rejected.
 LEAST_QUALITY = 0.5
@@ -18,6 +18,7 @@ LEAST_QUALITY = 0.5
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier rejects; it learns from the labelled rows outside the held-out quarter."""
+    shipping.ship(spark)
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     model = classifier.fit(docs.where(~held_out), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return classifier.accepted(docs, model, LEAST_QUALITY)
@@ -25,16 +26,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that break the base rules or a threshold."""
+    shipping.ship(spark)
     return quality_rules.kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of linked documents."""
+    shipping.ship(spark)
     return ngram_join.representatives(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of at most 2048 tokens."""
+    shipping.ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

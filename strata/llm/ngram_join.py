@@ -6,9 +6,9 @@ the pairs (``c`` = 2) of that prefix as signatures; heavy sets are found by scan
 shingles (``c`` = 1), in which light sets near the boundary are listed, too. Any two sets that reach the threshold
 meet in a list; nothing is capped.
 
-Long lists are not expanded into pairs. Each list first compares its members with one leader; verified links
-make components; then only members of different components are paired, which loses no component. Lists of frequent
-shingles are salted by the shingle's count, so no task holds a whole one.
+Long lists are not expanded into pairs. While they would give many pairs for their entries, each list compares its members with one
+leader, and verified links make components; then the members of different components are paired, which loses no
+component. While entries are gathered, lists of frequent shingles are salted by the shingle's count, so no task holds a whole one.
 
 Equal sets are one node from the start. Shingles and sets are named by 64-bit hashes.
 """
@@ -40,6 +40,13 @@ LIST_ROWS = 4096
 MOST_LIGHT = 512
 COMPARE_COST = 50
 
+#: Bits of the filter that keeps texts out of a shuffle.
+FILTER_BITS = 1 << 24
+#: Times that lists are compared with one leader each before what is left is paired (fewer if a turn does not halve
+#: what is left), and pairs per entry that need no leader.
+LEADER_TURNS = 6
+PAIRS_PER_ROW = 4
+
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _MOST_WORDS = 1_000_000
@@ -178,7 +185,7 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
                     seen.clear()
                 at = np.minimum(np.searchsorted(often, found), max(len(often) - 1, 0))
                 known = np.where(often[at] == found, count[at], 0) if len(often) else np.zeros(n, np.int64)
-                order = np.lexsort((found, known))
+                order = np.argsort(known, kind="stable")  # by count, then by name: the set is sorted by name
                 p = n - least_overlap(n) + 1
                 if n > boundary or n >= near:
                     first = order[:p]
@@ -205,12 +212,38 @@ def _may_link(a: str, b: str) -> Column:
     sizes = (100 * na >= PERCENT * nb) & (100 * nb >= PERCENT * na)
     after = F.least(na - pa_, nb - pb)
     reach = (100 + PERCENT) * after >= PERCENT * (na + nb)
-    return sizes & reach & ((ra == 0) | (ra == 1) | (rb == 1))
+    return sizes & reach & ((ra == 0) | (ra == 1) | (rb == 1)) & (F.col(f"{a}.node") != F.col(f"{b}.node"))
+
+
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    return rows.select(F.least(f"{a}.node", f"{b}.node").alias("a"), F.greatest(f"{a}.node", f"{b}.node").alias("b")).distinct()
+
+
+def _filter_bits(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of every id, in a table of fixed size, put together on the cluster."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = ids.select(F.floor(bit / 32).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(bit, F.lit(32)).cast("int")).alias("bits"))
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 32, np.int64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return table
 
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """``node`` and its sorted ``set`` for the nodes of ``wanted`` (``id``, ``node``)."""
-    found = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).join(wanted, "id").select("node", "_text")
+    """``node`` and its sorted ``set`` for the nodes of ``wanted`` (``id``, ``node``).
+
+    A filter of fixed size keeps most other texts out of the shuffle; the join then decides.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
+    some = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("_text")).withColumn("_bit", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            bit = whole.column(2).to_numpy()
+            passed = (bits.value[bit // 32] >> (bit % 32)) & 1
+            yield whole.filter(pa.array(passed.astype(bool))).select(["id", "_text"])
+
+    found = some.mapInArrow(sift, "id bigint, _text string").join(wanted, "id").select("node", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -225,13 +258,48 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "node bigint, set array<bigint>")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) that reach the threshold, by their whole sets."""
-    one = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+class _Linker:
+    """Compares pairs of nodes by their whole sets, which are read from the texts when first needed."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, reps: DataFrame):
+        self.docs, self.key, self.text, self.reps = docs, key, text, reps
+        self.sets: DataFrame | None = None
+        self.links: DataFrame | None = None
+
+    def add(self, pairs: DataFrame) -> DataFrame:
+        """Adds those of ``pairs`` that reach the threshold to the links; returns the components so far."""
+        pairs = stored(pairs, "ngram-pairs")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        new = nodes if self.sets is None else nodes.join(self.sets, "node", "left_anti")
+        wanted = stored(new.join(self.reps, "node").select("id", "node"), "ngram-wanted")
+        if self.sets is None or not wanted.isEmpty():
+            more = stored(_sets(self.docs, self.key, self.text, wanted), "ngram-sets")
+            self.sets = more if self.sets is None else self.sets.union(more)
+        one = self.sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
+        two = self.sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+        common = F.size(F.array_intersect("sa", "sb"))
+        enough = 100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)
+        found = stored(pairs.join(one, "a").join(two, "b").where(enough).select("a", "b"), "ngram-links")
+        self.links = found if self.links is None else self.links.union(found)
+        return components(self.links)
+
+
+def _lists(docs: DataFrame, key: str, text: str, scan: DataFrame, reps: DataFrame) -> DataFrame:
+    """Entries of the lists with two nodes or more: ``sig`` and ``e``, with the number of a node's entries as its weight."""
+    often = scan.where("kind = 1").groupBy(F.col("b").alias("sig")).agg(F.sum("a").alias("count"))
+    often = often.orderBy(F.desc("count"), "sig").limit(NOTED).toArrow()
+    noted, counts = often.column("sig").to_numpy().view(np.uint64), often.column("count").to_numpy()
+    by_name = np.argsort(noted)
+    single, squares = scan.where("kind = 2").agg(F.sum("a"), F.sum("b")).first()
+    sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
+    boundary = light_boundary(sizes, squares / single if single else 1.0)
+    lists = _entries(docs.where(F.col(key).isNotNull()), text, noted[by_name], counts[by_name], boundary)
+    one_list = Window.partitionBy("sig", "salt")
+    spread = lists.withColumn("lo", F.min("node").over(one_list)).withColumn("hi", F.max("node").over(one_list))
+    shared = stored(spread.where("lo <> hi OR salt > 0").drop("lo", "hi", "salt").distinct(), "ngram-shared")
+    weight = shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+    entry = F.struct("node", "n", "pos", "role", "weight").alias("e")
+    return stored(shared.join(weight, "node").select("sig", entry), "ngram-lists")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,45 +311,31 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     scan = stored(_scan(docs, key, text), "ngram-scan")
     nodes = scan.where("kind = 0").select("id", F.col("a").alias("n"), F.col("b").alias("node"))
     reps = nodes.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
+    lists = _lists(docs, key, text, scan, reps)
+    linker = _Linker(docs, key, text, reps)
+    joined = lists.select(F.col("e.node").alias("node"), F.col("e.node").alias("component")).where("false")
+    rest = lists.withColumn("c", F.col("e.node"))
+    before = None
+    for turn in range(LEADER_TURNS + 1):
+        spread = rest.groupBy("sig", "c").count().groupBy("sig").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("q"))
+        rows, pairs = spread.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("q")) / 2)).first()
+        if not pairs:
+            break
+        helped = before is None or pairs <= before / 2
+        before = pairs
+        if turn == LEADER_TURNS or pairs <= PAIRS_PER_ROW * rows or not helped:
+            found = rest.alias("x").join(rest.alias("y"), "sig").where(F.expr("x.c < y.c") & _may_link("x.e", "y.e"))
+            joined = linker.add(_pairs(found, "x.e", "y.e"))
+            break
+        # In each list the heaviest node leads first, as it shares most with the others; later a random one.
+        rank = F.col("e.weight") if turn == 0 else F.xxhash64(F.lit(turn), "e.node")
+        order = F.struct((F.col("e.role") == 1).alias("heavy"), rank.alias("rank"), "e", "c")
+        leaders = rest.groupBy("sig").agg(F.max(order).alias("m")).select("sig", F.col("m.e").alias("l"), F.col("m.c").alias("lc"))
+        joined = linker.add(_pairs(rest.join(leaders, "sig").where((F.col("c") != F.col("lc")) & _may_link("e", "l")), "e", "l"))
+        named = lists.join(joined, F.col("e.node") == F.col("node"), "left").select("sig", "e", F.coalesce("component", "e.node").alias("c"))
+        mixed = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
+        rest = stored(named.join(mixed, "sig"), "ngram-rest")
 
-    often = scan.where("kind = 1").groupBy(F.col("b").alias("sig")).agg(F.sum("a").alias("count"))
-    often = often.orderBy(F.desc("count"), "sig").limit(NOTED).toArrow()
-    noted = often.column("sig").to_numpy().view(np.uint64)
-    by_name = np.argsort(noted)
-    single, squares = scan.where("kind = 2").agg(F.sum("a"), F.sum("b")).first()
-    sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
-    boundary = light_boundary(sizes, squares / single if single else 1.0)
-
-    lists = _entries(docs.where(F.col(key).isNotNull()), text, noted[by_name], often.column("count").to_numpy()[by_name], boundary)
-    # One shuffle serves the removal of repeated entries, the counts and the leaders.
-    lists = lists.repartition("sig", "salt").dropDuplicates(["sig", "salt", "node"])
-    entry = F.struct((F.col("role") != 1).alias("light"), "node", "n", "pos", "role")
-    one_list = Window.partitionBy("sig", "salt")
-    shared = lists.withColumn("size", F.count(F.lit(1)).over(one_list)).withColumn("leader", F.min(entry).over(one_list))
-    shared = shared.where("(size > 1 OR salt > 0) AND (role <> 2 OR NOT leader.light OR salt > 0)")
-    shared = stored(shared.select("sig", "salt", F.struct("node", "n", "pos", "role").alias("e"), "leader"), "ngram-lists")
-
-    star = shared.where(_may_link("e", "leader") & (F.col("e.node") != F.col("leader.node")))
-    pairs = star.select(F.least("e.node", "leader.node").alias("a"), F.greatest("e.node", "leader.node").alias("b"))
-    heads = shared.where("salt > 0").select("sig", "leader").distinct()
-    top = heads.groupBy("sig").agg(F.min("leader").alias("e"))
-    across = heads.join(top, "sig").where(_may_link("e", "leader") & (F.col("e.node") != F.col("leader.node")))
-    pairs = pairs.union(across.select(F.least("e.node", "leader.node").alias("a"), F.greatest("e.node", "leader.node").alias("b"))).distinct()
-
-    wanted = shared.select(F.col("e.node").alias("node")).distinct().join(reps, "node").select("id", "node")
-    sets = stored(_sets(docs, key, text, wanted), "ngram-sets")
-    links = stored(_linked(pairs, sets), "ngram-links")
-    known = components(links)
-
-    named = shared.select("sig", "e").join(known, F.col("e.node") == F.col("node"), "left")
-    named = named.select("sig", "e", F.coalesce("component", "e.node").alias("c"))
-    mixed = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
-    rest = stored(named.join(mixed, "sig"), "ngram-rest")
-    left = rest.alias("x").join(rest.alias("y"), "sig").where(F.expr("x.c < y.c") & _may_link("x.e", "y.e"))
-    more = left.select(F.least("x.e.node", "y.e.node").alias("a"), F.greatest("x.e.node", "y.e.node").alias("b")).distinct()
-    later = stored(_linked(more, sets), "ngram-later")
-
-    joined = components(links.union(later))
     # The name of a component is its smallest document id.
     member = reps.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = member.groupBy("component").agg(F.min("id").alias("component_id"))

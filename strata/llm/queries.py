@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, ngram_join, packing, quality_rules, scratch, sharding, token_files
+from strata.llm import classifier, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files
 
 SHARDS = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipping.ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
