@@ -32,7 +32,7 @@ PERCENT = 80
 #: Shingles whose counts are noted, most frequent first; bounds what every task holds.
 NOTED = 1 << 18
 #: Shingles that are counted together, and the count within them from which a shingle is reported.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 REPORTED = 4
 #: Rows of one list that one task is meant to hold.
 LIST_ROWS = 4096
@@ -49,7 +49,7 @@ PAIRS_PER_ROW = 4
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
-_MOST_WORDS = 1_000_000
+_MOST_WORDS = 400_000
 
 
 class _Words(dict):
@@ -196,7 +196,7 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
                     a, b = found[first[i]], found[first[j]]
                     add(_mixed(_mixed(a * _K) + b), np.minimum(known[first[i]], known[first[j]]), i, node, n, 0)
                 held += len(out[-1][0])
-                if held > 200_000:
+                if held > 100_000:
                     yield flushed()
                     out, held = [], 0
         if out:
