@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files
+from strata.llm import classifier, embedding_join, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files
 
 SHARDS = 40
 
@@ -35,6 +35,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").cast("bigint").alias("ids_crc32"))
 
 
+def op6_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -57,5 +61,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     q.__name__: q
-    for q in (op3_shards, op4_packed_sequences, op5_token_files, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
+    for q in (op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
 }
