@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import classifier, embedding_join, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files
+from strata.llm import byte_bpe, classifier, embedding_join, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files, url_lists
 
 SHARDS = 40
 
@@ -16,6 +16,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def captures_and_list(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every page as a capture of a day, and a log of list entries that about an eleventh of the pages gave rise to."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("day", F.pmod(F.col("page_id") * 7919, F.lit(366)).cast("int"))
+    k = F.col("page_id") * 37 + F.length("url")
+    host = F.lower(F.regexp_extract("url", url_lists.HOST, 1))
+    folder = F.concat(host, F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]*/)", 1))
+    pattern = F.when(F.pmod(k, F.lit(3)) == 0, F.concat(F.lit("host:"), host)).when(
+        F.pmod(k, F.lit(3)) == 1, F.concat(F.lit("path:"), folder)).otherwise(
+        F.concat(F.lit("domain:"), F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)))
+    entries = pages.where(F.pmod(k, F.lit(11)) == 0).select(
+        pattern.alias("pattern"), F.pmod(k * 13, F.lit(366)).cast("int").alias("day"), (F.pmod(F.floor(k / 11), F.lit(3)) != 0).alias("listed"))
+    return captures, entries
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, entries = captures_and_list(spark, sf_dir)
+    return url_lists.judged(captures, entries)
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scratch.stored(sharding.measured(table(spark, sf_dir, "documents"), "doc_id", "text"), "sizes")
     found = sharding.sharded(rows, "doc_id", SHARDS)
@@ -39,6 +59,15 @@ def op6_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -61,5 +90,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     q.__name__: q
-    for q in (op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
+    for q in (op2_url_lists, op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op7_byte_bpe, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
 }

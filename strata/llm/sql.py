@@ -46,6 +46,40 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM v
 """
 
+#: Pages as captures, and the last entry of each matching pattern on or before the day of the fetch.
+URL_LISTS = r"""
+WITH c AS (
+  SELECT page_id, url, CAST((page_id * 7919) % 366 AS INTEGER) AS day,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1) AS path,
+    page_id * 37 + length(url) AS k
+  FROM pages),
+e AS (
+  SELECT CASE k % 3 WHEN 0 THEN 'host:' || host
+      WHEN 1 THEN 'path:' || host || regexp_extract(path, '^(/[^/?#]*/)', 1)
+      ELSE 'domain:' || regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) END AS pattern,
+    CAST((k * 13) % 366 AS INTEGER) AS day, (k // 11) % 3 <> 0 AS listed
+  FROM c WHERE k % 11 = 0),
+d AS (
+  SELECT pattern, day, bool_or(listed) AS listed FROM e GROUP BY pattern, day),
+p AS (
+  SELECT DISTINCT url, day, unnest(list_concat(
+    ['host:' || host],
+    [ 'domain:' || array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.') for i in range(1, len(string_split(host, '.')) + 1) ],
+    [ 'path:' || host || array_to_string(list_slice(string_split(path, '/'), 1, i), '/') || '/' for i in range(1, len(string_split(path, '/'))) ]
+  )) AS pattern FROM c),
+s AS (
+  SELECT p.url, p.day, p.pattern, arg_max(d.listed, d.day) AS listed
+  FROM p JOIN d ON p.pattern = d.pattern AND d.day <= p.day GROUP BY ALL),
+r AS (
+  SELECT url, day, pattern AS rule FROM s WHERE listed
+  QUALIFY row_number() OVER (PARTITION BY url, day ORDER BY
+    CASE split_part(pattern, ':', 1) WHEN 'path' THEN 3 WHEN 'host' THEN 2 ELSE 1 END DESC, length(pattern) DESC, pattern DESC) = 1)
+SELECT c.page_id, c.url, c.day, r.rule IS NOT NULL AS blocked, r.rule
+FROM c LEFT JOIN r ON c.url = r.url AND c.day = r.day
+"""
+
 ORACLE = {
+    "op2_url_lists": URL_LISTS,
     "op9_quality_rules": QUALITY_RULES,
 }
