@@ -32,8 +32,8 @@ PERCENT = 80
 #: Shingles whose counts are noted, most frequent first; bounds what every task holds.
 NOTED = 1 << 18
 #: Shingles that are counted together, and the count within them from which a shingle is reported.
-BLOCK = 1 << 21
-REPORTED = 4
+BLOCK = 1 << 20
+REPORTED = 3
 #: Rows of one list that one task is meant to hold.
 LIST_ROWS = 4096
 #: Largest set that may count as light, and the cost of comparing two sets in list entries.
@@ -45,11 +45,11 @@ FILTER_BITS = 1 << 24
 #: Times that lists are compared with one leader each before what is left is paired (fewer if a turn does not halve
 #: what is left), and pairs per entry that need no leader.
 LEADER_TURNS = 6
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 0.6
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
-_MOST_WORDS = 400_000
+_MOST_WORDS = 200_000
 
 
 class _Words(dict):
@@ -123,6 +123,7 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
                     if size >= BLOCK:
                         yield from counted()
                         held, size = [], 0
+            pa.default_memory_pool().release_unused()
         if held:
             yield from counted()
 
@@ -196,9 +197,10 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
                     a, b = found[first[i]], found[first[j]]
                     add(_mixed(_mixed(a * _K) + b), np.minimum(known[first[i]], known[first[j]]), i, node, n, 0)
                 held += len(out[-1][0])
-                if held > 100_000:
+                if held > 50_000:
                     yield flushed()
                     out, held = [], 0
+            pa.default_memory_pool().release_unused()
         if out:
             yield flushed()
 
