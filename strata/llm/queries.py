@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, classifier, embedding_join, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files, url_lists
+from strata.llm import byte_bpe, classifier, embedding_join, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files, url_lists, wrappers
 
 SHARDS = 40
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extracted(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def captures_and_list(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Every page as a capture of a day, and a log of list entries that about an eleventh of the pages gave rise to."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -90,5 +94,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     q.__name__: q
-    for q in (op2_url_lists, op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op7_byte_bpe, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
+    for q in (op1_page_text, op2_url_lists, op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op7_byte_bpe, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
 }
