@@ -189,20 +189,24 @@ def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]
             yield from slots(["", "", children], path if name == "()" else (*path, name))
 
 
-def main_slots(wrapper: list) -> list[str]:
-    """The slots that hold the main text."""
+def main_slots(wrapper: list) -> list[set[str]]:
+    """The slots that may hold the main text, best kind first: in an article, in a main container, in one named like it, any other."""
     open_ = [p for p in dict.fromkeys(slots(wrapper)) if not any(_is_aside(n) for n in p)]
     tests = (
         lambda n: n.split(".")[0] == "article",
         lambda n: n.split(".")[0] == "main" or "main" in n.split(".")[1:],
         lambda n: bool(MAIN_WORDS & set(n.split(".")[1:])),
-        lambda n: True,
     )
-    for holds in tests:
-        chosen = [p for p in open_ if any(holds(n) for n in p)]
+    return [{"/".join(p) for p in open_ if any(holds(n) for n in p)} for holds in tests] + [{"/".join(p) for p in open_}]
+
+
+def main_text(page: _Page, kinds: list[set[str]]) -> str:
+    """Blocks in the slots of the best kind that the page fills."""
+    for kind in kinds:
+        chosen = [text for path, text in page.blocks if path in kind]
         if chosen:
-            return ["/".join(p) for p in chosen]
-    return ["/".join(p) for p in open_]
+            return "\n\n".join(chosen)
+    return ""
 
 
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -246,7 +250,7 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: tupl
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set[str]] = {}
+        known: dict[str, list[set[str]]] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
@@ -255,8 +259,8 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: tupl
                     if wrapper not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[wrapper] = set(main_slots(json.loads(wrapper)))
-                    texts.append("\n\n".join(t for p, t in parsed(page).blocks if p in known[wrapper]))
+                        known[wrapper] = main_slots(json.loads(wrapper))
+                    texts.append(main_text(parsed(page), known[wrapper]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(texts, pa.string())], [*keep, url, "text"])
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*keep).schema.fields)
