@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def _ascii_escaped(text: Column) -> Column:
-    """JSON text with every non-ASCII character written as ``\\uXXXX`` (surrogate pairs above U+FFFF)."""
+    """JSON text with every character above U+007E written as ``\\uXXXX`` (surrogate pairs above U+FFFF)."""
 
     def unit(code: Column) -> Column:
         return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
@@ -21,10 +21,10 @@ def _ascii_escaped(text: Column) -> Column:
             unit(F.lit(0xD800) + F.shiftright(above, 10)),
             unit(F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))),
         )
-        return F.when(code < 0x80, char).when(code < 0x10000, unit(code)).otherwise(pair)
+        return F.when(code < 0x7F, char).when(code < 0x10000, unit(code)).otherwise(pair)
 
     escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
-    return F.when(F.octet_length(text) > F.length(text), escaped).otherwise(text)
+    return F.when((F.octet_length(text) > F.length(text)) | F.contains(text, F.lit("\x7f")), escaped).otherwise(text)
 
 
 def canonical_request(

@@ -101,6 +101,35 @@ RUN_LOG_INPUT = ", ".join(
 )
 
 
+#: Texts of a failed audit, and widths of columns of the run table. Fixed values.
+LOG_FAILED = "Fallo escritura log ADLS: {}"
+AUDIT_FAILED = "Fallo auditoria SQL: {}"
+MESSAGE_WIDTH = 2000
+GAPS_WIDTH = 500
+
+
+def short(text: str | None, width: int) -> str | None:
+    """A text that fits a column; what is cut ends in dots. The documents hold the whole text."""
+    return text if text is None or len(text) <= width else text[: width - 3] + "..."
+
+
+def _count_against(report: dict, text: str) -> None:
+    """Note an error that makes a report's stage fail."""
+    report["errors"] = [*report.get("errors", []), text]
+    report.update(status=lifecycle.FAILED, error_message="; ".join(report["errors"]))
+
+
+def _write_report(spark: SparkSession, lake: Lake, run: Run, stage: str, report: dict) -> str:
+    """Write the report of a stage as a JSON document; returns where."""
+    row = {k: v for k, v in report.items() if k not in ("execution_date", "dataset_name")}
+    text = json.dumps(row, default=str, ensure_ascii=False)
+    document = spark.createDataFrame(
+        [(run.execution_date, lake.dataset, stage, run.dag_id, run.run_id, text)],
+        "execution_date string, dataset_name string, task_id string, dag_id string, run_id string, report string",
+    )
+    return write_document(document, lake, run, stage if stage in ("curated", "warehouse") else None)
+
+
 def run_stage(
     spark: SparkSession, lake: Lake, run: Run, stage: str, body: Callable[[], dict | DataFrame]
 ) -> dict:
@@ -119,45 +148,38 @@ def run_stage(
         report.setdefault("status", lifecycle.SUCCESS)
     except Exception as error:  # noqa: BLE001 - any failure of the stage is logged, then raised
         failure = error
-        report.update(getattr(error, "report", {}), status=lifecycle.FAILED, error_message=str(error)[:2000])
+        report.update(getattr(error, "report", {}), status=lifecycle.FAILED, error_message=str(error))
     report.update(started_at_utc=began, ended_at_utc=_now())
 
-    log_error = audit_error = None
-    layer = stage if stage in ("curated", "warehouse") else None
-    try:
-        row = {k: v for k, v in report.items() if k not in ("execution_date", "dataset_name")}
-        body_row = spark.createDataFrame(
-            [(run.execution_date, lake.dataset, stage, run.dag_id, run.run_id, json.dumps(row, default=str, ensure_ascii=False))],
-            "execution_date string, dataset_name string, task_id string, dag_id string, run_id string, report string",
-        )
-        report["log_path"] = write_document(body_row, lake, run, layer)
-    except Exception as error:  # noqa: BLE001
-        log_error = error
-        report["status"] = lifecycle.FAILED
-        report["errors"] = [*report.get("errors", []), f"Fallo escritura log ADLS: {error}"]
-        report["error_message"] = "; ".join(report["errors"][:5])
-    try:
-        write_run_log(spark, lake, run, stage, report)
-    except Exception as error:  # noqa: BLE001
-        audit_error = error
-
-    status = lifecycle.SUCCESS if report["status"] == lifecycle.SUCCESS and not audit_error else lifecycle.FAILED
+    def log() -> None:
+        report["log_path"] = _write_report(spark, lake, run, stage, report)
+
+    # What went wrong in the audit itself, in the order in which it is raised.
+    problems: list[StageFailed] = []
+    for text, write in ((LOG_FAILED, log), (AUDIT_FAILED, lambda: write_run_log(spark, lake, run, stage, report))):
+        try:
+            write()
+        except Exception as error:  # noqa: BLE001 - the other write is still tried
+            problem = StageFailed(text.format(error), report)
+            problem.__cause__ = error
+            problems.append(problem)
+            if text == LOG_FAILED:
+                _count_against(report, str(problem))
+    message = report.get("error_message") or "".join(str(p.__cause__) for p in problems)
     _append(
         lifecycle.closed(
             opened,
-            status=F.lit(status),
+            status=F.lit(lifecycle.FAILED if problems else report["status"]),
             ended=F.lit(report["ended_at_utc"]),
-            error=F.lit((report.get("error_message") or str(audit_error or ""))[:2000]),
+            error=F.lit(short(message, MESSAGE_WIDTH)),
             pages_expected=F.lit(report.get("pages_expected")),
             pages_loaded=F.lit(report.get("pages_loaded")),
-            missing=F.lit(report.get("missing_pages")),
+            missing=F.lit(short(report.get("missing_pages"), GAPS_WIDTH)),
         ),
         PIPELINE_RUNS.full_name,
     )
-    if log_error:
-        raise StageFailed(f"Fallo escritura log ADLS: {log_error}", report) from log_error
-    if audit_error:
-        raise StageFailed(f"Fallo auditoria SQL: {audit_error}", report) from audit_error
+    for problem in problems:
+        raise problem
     if failure:
         raise failure
     if report["status"] != lifecycle.SUCCESS:

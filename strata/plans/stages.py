@@ -14,11 +14,13 @@ from strata.functions.hashing import request_hash
 from strata.operators import facts as fact_ops
 from strata.operators import raw, records, standard, upsert, validation
 from strata.operators.constraints import REASONS
-from strata.plans.lake import RAW_SCHEMA, Lake, partition, replace_partition, written_rows
+from strata.plans.lake import PARTITION, RAW_SCHEMA, Lake, partition, replace_partition, written_rows
 from strata.plans.tables import create_tables, highest_key, note_highest_key, publish
 from strata.session import drop_path, materialise
 from strata.sources import envelopes, layers, manifest, pages
 
+#: Gaps that the run log shows.
+SHOWN_GAPS = 50
 STAGING_ONLY = ("execution_date", "ingestion_timestamp")
 
 
@@ -80,23 +82,25 @@ def ingest(
     after = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
     total = after.agg(F.count(F.lit(1)).alias("pages"), F.sum("records").alias("records")).first()
     below = counted if max_pages is None else counted.filter(F.col("page") <= max_pages)
-    gaps = (
-        pages.missing_pages(below)
-        .orderBy("first_missing")
-        .limit(50)
-        .agg(F.sort_array(F.collect_list(F.struct("first_missing", "last_missing"))).alias("gaps"))
-        .first()
-    )
-    shown = ",".join(f"{a}-{b}" if a != b else str(a) for a, b in gaps["gaps"])
+    # Every gap is written; the run log shows the first ones and says when there are more.
+    replace_partition(pages.missing_pages(below), lake.quarantine("raw_gaps"), execution_date)
+    gaps = partition_of_gaps(spark, lake, execution_date).orderBy("first_missing").limit(SHOWN_GAPS + 1).collect()
+    ranges = [f"{g[0]}-{g[1]}" if g[0] != g[1] else str(g[0]) for g in gaps]
+    shown = ",".join(ranges[:SHOWN_GAPS]) + (",..." if len(ranges) > SHOWN_GAPS else "")
     drop_path(spark, scratch)
     return {
         "pages_expected": expected,
         "pages_loaded": total["pages"] - before["pages"],
         "records_loaded": (total["records"] or 0) - (before["records"] or 0),
-        "missing_pages": shown[:500] or None,
+        "missing_pages": shown or None,
     }
 
 
+def partition_of_gaps(spark: SparkSession, lake: Lake, execution_date: str) -> DataFrame:
+    """Ranges of pages that are missing from a date's raw data, all of them."""
+    return spark.read.parquet(f"{lake.quarantine('raw_gaps')}/{PARTITION}={execution_date}").select("first_missing", "last_missing")
+
+
 def validate(
     spark: SparkSession,
     lake: Lake,
@@ -142,16 +146,26 @@ def staging(
     """Raw envelopes to typed entity partitions.
 
     Envelopes are parsed once into a written copy of typed flat records; each entity then reads
-    only its own columns of it.
+    only its own columns of it. Elements that are no records go to the refused rows with their reason; the stage
+    fails if records and refused elements do not add up to what the raw layer has counted.
     """
     fields = {f.name: f for contract in STAGING.values() for f in contract.fields}
     names = record_fields()
     raw_rows = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
-    texts = envelopes.result_records(raw_rows, names, source_names=source_names)
-    typed = records.typed_records(texts, [fields[name] for name in names])
-    flat, scratch = materialise(
+    elements = envelopes.result_elements(raw_rows, names, source_names=source_names)
+    typed = records.typed_records(elements, [fields[name] for name in names], envelopes.REJECT, envelopes.ELEMENT)
+    copy, scratch = materialise(
         records.with_technical_columns(typed, F.lit(execution_date), batch_ts), "records"
     )
+    reject = F.col(envelopes.REJECT)
+    flat = copy.filter(reject.isNull()).drop(envelopes.REJECT, envelopes.ELEMENT)
+    refused = copy.filter(reject.isNotNull()).select(envelopes.ELEMENT, F.array(reject).alias(REASONS))
+    _write_rejects(lake, "staging_records", {"element": refused}, execution_date)
+    read = copy.filter(reject.isNull() | (reject == envelopes.NOT_OBJECT)).count()
+    declared = raw_rows.agg(F.sum("records")).first()[0]
+    if declared is not None and declared != read:
+        drop_path(spark, scratch)
+        raise ValueError(f"raw counts {declared} records of {execution_date}, staging read {read}")
     lost = flat.filter(F.size(records.ISSUES) > 0).select(*names, F.col(records.ISSUES).alias(REASONS))
     splits = records.split_entities(flat, STAGING, ("fecha_corte",))
     counts = {"rows_read": flat.count(), **_write_entities(spark, lake, "staging", splits, execution_date)}

@@ -59,6 +59,17 @@ def test_records_come_out_of_envelopes_as_text(spark):
     assert rows_of(found) == [(0, "1.5", "x"), (1, "y", None)]
 
 
+def test_numbers_keep_their_digits_and_odd_elements_are_refused(spark):
+    results = '[1,{"a":9007199254740993.12},"s",null,{"a":1234567890123456.78},[{"a":2}],{"a":"007"}]'
+    contents = [f'{{"payload":{{"results":{results}}}}}', "{broken", None, '{"payload":{}}']
+    raw_rows = spark.createDataFrame([(c,) for c in contents], "content string")
+    found = envelopes.result_records(raw_rows, ["a"])
+    assert rows_of(found) == [(1, "9007199254740993.12"), (4, "1234567890123456.78"), (6, "007")]
+    refused = envelopes.result_elements(raw_rows, ["a"]).filter("_reject is not null").select("_reject", "_element")
+    assert sorted(map(tuple, refused.collect())) == [
+        ("NOT_OBJECT", '"s"'), ("NOT_OBJECT", "1"), ("NOT_OBJECT", '[{"a":2}]'), ("NOT_OBJECT", "null"), ("NOT_PARSED", "{broken")]
+
+
 def test_latest_per_key_does_not_depend_on_partitions(spark):
     data = [("A", 1, "x"), ("A", 2, "x"), ("A", 2, "y"), ("A", 2, None), ("B", None, None)]
     frame = spark.createDataFrame(data * 3, "k string, v int, w string")
