@@ -141,4 +141,6 @@ def judged(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -
 def kept(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` that break no rule, with the columns of ``docs``, whatever their names."""
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    return judged(held, "_text", rules).where((F.size("_base") == 0) & (F.size("_broken") == 0)).select("_row.*")
+    passed = F.when((F.size("_base") == 0) & (F.size("_broken") == 0), F.array("_row"))
+    # A plain filter would be pushed below the projections and compute every measure again for each of its uses.
+    return judged(held, "_text", rules).select(F.explode_outer(passed).alias("_row")).where("_row IS NOT NULL").select("_row.*")
