@@ -124,6 +124,7 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
                         yield from counted()
                         held, size = [], 0
             pa.default_memory_pool().release_unused()
+        _WORDS.clear()  # the worker may serve other operators next
         if held:
             yield from counted()
 
@@ -201,6 +202,7 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
                     yield flushed()
                     out, held = [], 0
             pa.default_memory_pool().release_unused()
+        _WORDS.clear()
         if out:
             yield flushed()
 
