@@ -14,6 +14,8 @@ from strata.llm import classifier, ngram_join, packing, quality_rules, scratch,
 
 #: Documents whose probability of good quality is lower are rejected.
 LEAST_QUALITY = 0.5
+#: Words whose ids a worker keeps; the workers of the stages before are still there, so it is less than elsewhere.
+KNOWN_WORDS = 100_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of at most 2048 tokens."""
     shipping.ship(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), most_words=KNOWN_WORDS)
 
 
 STAGES = [

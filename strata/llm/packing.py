@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.numbering import blocks_for, numbered
 from strata.llm.scratch import stored
-from strata.llm.tokens import encoded
+from strata.llm.tokens import MOST_WORDS, encoded
 
 CAPACITY = 2048
 #: Branches that the search for one filling may open before it takes the best one seen.
@@ -122,13 +122,15 @@ def cut(ids: bytes, end: int, capacity: int = CAPACITY) -> list[dict]:
         for i, at in enumerate(range(0, len(whole), 4 * capacity))]
 
 
-def pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", end: int = 0, capacity: int = CAPACITY) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", end: int = 0, capacity: int = CAPACITY, most_words: int = MOST_WORDS,
+) -> DataFrame:
     """Per piece: ``key``, ``piece``, ``start``, ``length`` and ``ids`` (little-endian unsigned 32-bit integers).
 
     A null or empty text is one piece, the end id. Repeated rows and null keys give pieces of their own.
     """
     schema = "piece int, start bigint, length bigint, ids binary"
-    return encoded(docs, key, text, path, lambda ids: cut(ids, end, capacity), schema).withColumnRenamed("_key", key)
+    return encoded(docs, key, text, path, lambda ids: cut(ids, end, capacity), schema, most_words).withColumnRenamed("_key", key)
 
 
 def placed(rows: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
@@ -164,10 +166,10 @@ def placed(rows: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
 
 
 def pack(
-    docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", end: int = 0, capacity: int = CAPACITY,
+    docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", end: int = 0, capacity: int = CAPACITY, most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """Per piece of every document: ``key``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``."""
-    found = pieces(docs, path, key=key, text=text, end=end, capacity=capacity)
+    found = pieces(docs, path, key=key, text=text, end=end, capacity=capacity, most_words=most_words)
     rows = stored(found.withColumn("ids_crc32", F.crc32("ids").cast("bigint")).drop("ids"), "pieces")
     return placed(rows, [key, "piece", "ids_crc32"], capacity)
 

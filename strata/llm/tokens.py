@@ -91,10 +91,11 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
     """The worker's encoder for a tokenizer file; it lives as long as the worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].most_words = most_words
     return _ENCODERS[path]
 
 
@@ -106,15 +107,21 @@ def slices(batch: pa.RecordBatch, text: int, most_bytes: int) -> Iterator[pa.Rec
         yield batch.slice(at[0], len(at))
 
 
-def encoded(docs: DataFrame, key: str, text: str, path: str, per_text: Callable[[bytes], list[dict]], schema: str) -> DataFrame:
-    """Rows that ``per_text`` makes from each text's ids, after ``key``; null texts count as empty."""
+def encoded(
+    docs: DataFrame, key: str, text: str, path: str, per_text: Callable[[bytes], list[dict]], schema: str, most_words: int = MOST_WORDS,
+) -> DataFrame:
+    """Rows that ``per_text`` makes from each text's ids, after ``key``; null texts count as empty.
+
+    ``most_words`` trades a worker's memory for time; slices of text shrink with it.
+    """
+    slice_bytes = min(SLICE_BYTES, 10 * most_words)
     kind = docs.select(key).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(path, most_words)
         shape = None
         for whole in batches:
-            for batch in slices(whole, 1, SLICE_BYTES):
+            for batch in slices(whole, 1, slice_bytes):
                 keys, rows = [], []
                 for k, ids in zip(batch.column(0).to_pylist(), own.batch(batch.column(1)), strict=True):
                     for row in per_text(ids):
