@@ -4,7 +4,9 @@ Every set is put into one global order of shingles, rare ones first. If two sets
 ``n - ceil(t * n) + c`` shingles of both share at least ``c`` of them. Light sets (up to a size chosen by cost) enumerate
 the pairs (``c`` = 2) of that prefix as signatures; heavy sets are found by scanning the inverted lists of single
 shingles (``c`` = 1), in which light sets near the boundary are listed, too. Any two sets that reach the threshold
-meet in a list; nothing is capped.
+meet in a list; nothing is capped. A pair is compared by whole sets only if short sketches do not rule it out: a set's sketch keeps, for
+each of about ``n`` bits, whether an odd number of its shingles fall there, so two sketches differ in no more bits than their sets in
+shingles.
 
 Long lists are not expanded into pairs. While they would give many pairs for their entries, each list compares its members with one
 leader, and verified links make components; then the members of different components are paired, which loses no
@@ -87,23 +89,35 @@ def fingerprint(found: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes()))))
 
 
+def sketch(found: np.ndarray) -> np.ndarray | None:
+    """Parities of the set's shingles by the low bits of their names, as 64-bit words: the power of two that
+    gives each shingle a bit at least. Exclusive-or of its halves is the sketch of half the length."""
+    if not len(found):
+        return None
+    bits = 64 << (-(-len(found) // 64) - 1).bit_length()
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def least_overlap(n: np.ndarray | int, percent: int = PERCENT):
     """Shingles that a set of size ``n`` shares at least with any partner."""
     return -(-n * percent // 100)
 
 
 def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One pass: a row per document (``kind`` 0: id, size, node), per frequent shingle of a block (1: count, shingle), and per block
+    """One pass: a row per document (``kind`` 0: id, size, node, sketch), per frequent shingle of a block (1: count, shingle), and per block
     (2: occurrences of other shingles and the sum of their squared counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
-        def rows(kind: int, ids, a, b) -> pa.RecordBatch:
+        def rows(kind: int, ids, a, b, bits=None) -> pa.RecordBatch:
+            bits = [None] * len(a) if bits is None else bits
             return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(a), pa.int32()), pa.array(ids, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                ["kind", "id", "a", "b"])
+                [pa.array([kind] * len(a), pa.int32()), pa.array(ids, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                 pa.array(bits, pa.list_(pa.int64()))],
+                ["kind", "id", "a", "b", "sketch"])
 
         def counted() -> Iterator[pa.RecordBatch]:
             found, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -116,7 +130,7 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 sets = [shingles(t.as_py()) for t in batch.column(1)]
-                yield rows(0, batch.column(0).to_pylist(), [len(s) for s in sets], [fingerprint(s) for s in sets])
+                yield rows(0, batch.column(0).to_pylist(), [len(s) for s in sets], [fingerprint(s) for s in sets], [sketch(s) for s in sets])
                 for s in sets:
                     held.append(s)
                     size += len(s)
@@ -128,7 +142,8 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
         if held:
             yield from counted()
 
-    return docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text")).mapInArrow(run, "kind int, id bigint, a bigint, b bigint")
+    schema = "kind int, id bigint, a bigint, b bigint, sketch array<bigint>"
+    return docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
 def light_boundary(sizes: dict[int, int], list_length: float) -> int:
@@ -223,6 +238,26 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.select(F.least(f"{a}.node", f"{b}.node").alias("a"), F.greatest(f"{a}.node", f"{b}.node").alias("b")).distinct()
 
 
+def _near(pairs: DataFrame, scan: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose sketches differ in no more bits than sets that link may differ in shingles.
+
+    Sizes of the sets of a pair are within the threshold, so one sketch is at most twice as long as the other.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("b")).distinct()
+    known = scan.where("kind = 0").join(nodes, "b", "left_semi").groupBy("b").agg(F.first("a").alias("n"), F.first("sketch").alias("bits"))
+    one, two = (known.select(F.col("b").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}")) for x in ("a", "b"))
+
+    def folded(bits: str, other: str) -> Column:
+        half = F.floor(F.size(bits) / 2).cast("int")
+        halves = F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) > F.size(other), halves).otherwise(F.col(bits))
+
+    apart = F.zip_with(folded("bitsa", "bitsb"), folded("bitsb", "bitsa"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(apart, F.lit(0), lambda total, x: total + x)
+    may = (100 - PERCENT) * (F.col("na") + F.col("nb")) >= (100 + PERCENT) * differ
+    return pairs.join(one, "a").join(two, "b").where(may).select("a", "b")
+
+
 def _filter_bits(ids: DataFrame) -> np.ndarray:
     """A bit for the hash of every id, in a table of fixed size, put together on the cluster."""
     bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
@@ -263,16 +298,16 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
 
 
 class _Linker:
-    """Compares pairs of nodes by their whole sets, which are read from the texts when first needed."""
+    """Compares pairs of nodes that their sketches do not rule out by their whole sets, which are read from the texts when first needed."""
 
-    def __init__(self, docs: DataFrame, key: str, text: str, reps: DataFrame):
-        self.docs, self.key, self.text, self.reps = docs, key, text, reps
+    def __init__(self, docs: DataFrame, key: str, text: str, scan: DataFrame, reps: DataFrame):
+        self.docs, self.key, self.text, self.scan, self.reps = docs, key, text, scan, reps
         self.sets: DataFrame | None = None
         self.links: DataFrame | None = None
 
     def add(self, pairs: DataFrame) -> DataFrame:
         """Adds those of ``pairs`` that reach the threshold to the links; returns the components so far."""
-        pairs = stored(pairs, "ngram-pairs")
+        pairs = stored(_near(stored(pairs, "ngram-pairs"), self.scan), "ngram-near")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         new = nodes if self.sets is None else nodes.join(self.sets, "node", "left_anti")
         wanted = stored(new.join(self.reps, "node").select("id", "node"), "ngram-wanted")
@@ -316,7 +351,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     nodes = scan.where("kind = 0").select("id", F.col("a").alias("n"), F.col("b").alias("node"))
     reps = nodes.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     lists = _lists(docs, key, text, scan, reps)
-    linker = _Linker(docs, key, text, reps)
+    linker = _Linker(docs, key, text, scan, reps)
     joined = lists.select(F.col("e.node").alias("node"), F.col("e.node").alias("component")).where("false")
     rest = lists.withColumn("c", F.col("e.node"))
     before = None

@@ -247,6 +247,30 @@ def test_ngram_join_against_brute_force(spark):
     assert ngram_join.join(empty_docs(spark)).count() == 0
 
 
+def test_sketches_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(5)
+    sets, pairs = {}, []
+    for i in range(120):
+        n = int(rng.choice([4, 9, 60, 64, 65, 127, 128, 129, 600]))
+        one = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        cut, new = rng.integers(0, max(1, n // 6), 2)
+        two = np.concatenate([one[cut:], rng.integers(0, 1 << 63, int(new)).astype(np.uint64)])
+        sets[2 * i], sets[2 * i + 1] = np.unique(one), np.unique(two)
+        pairs.append((2 * i, 2 * i + 1))
+        if i % 3 == 0 and 100 * n >= 80 * len(one):
+            far = np.unique(rng.integers(0, 1 << 63, len(sets[2 * i])).astype(np.uint64))
+            sets[1000 + i] = far
+            pairs.append((2 * i, 1000 + i))
+    bits = [(0, 0, len(s), k, [int(w) for w in ngram_join.sketch(s)]) for k, s in sets.items()]
+    scan = spark.createDataFrame(bits, "kind int, id bigint, a bigint, b bigint, sketch array<bigint>")
+    near = {tuple(r) for r in ngram_join._near(spark.createDataFrame(pairs, "a bigint, b bigint"), scan).collect()}
+    for a, b in pairs:
+        common = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+            assert (a, b) in near
+    assert not any(b >= 1000 and len(sets[a]) >= 60 for a, b in near)
+
+
 def test_quality_rules_on_odd_texts(spark):
     line = "one two three four five six seven"
     docs = spark.createDataFrame([(1, f"{line}\n{line}\n"), (2, None), (3, "a#b $ c"), (4, " ".join(f"the w{i}" for i in range(60)))], "doc_id bigint, text string")
