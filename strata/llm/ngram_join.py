@@ -198,7 +198,7 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
                 if node in seen:
                     continue
                 seen.add(node)
-                if len(seen) > 1_000_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 at = np.minimum(np.searchsorted(often, found), max(len(often) - 1, 0))
                 known = np.where(often[at] == found, count[at], 0) if len(often) else np.zeros(n, np.int64)
@@ -282,7 +282,8 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
             passed = (bits.value[bit // 32] >> (bit % 32)) & 1
             yield whole.filter(pa.array(passed.astype(bool))).select(["id", "_text"])
 
-    found = some.mapInArrow(sift, "id bigint, _text string").join(wanted, "id").select("node", "_text")
+    # The shuffle parts the two steps in Python: in one stage they would take two workers for each core.
+    found = some.mapInArrow(sift, "id bigint, _text string").join(wanted.hint("merge"), "id").select("node", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
