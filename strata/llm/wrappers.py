@@ -4,15 +4,18 @@ A page's tokens are its containers (tag and class) and text slots. Neighbours th
 streams of a host are then aligned one after the other: what matches is merged, what does not becomes optional or
 repeated. The wrapper names every text slot of the host by its path; slots in menus, adverts, forms, comments and
 the like are not main, and of the rest those in the article are, or else in the main container, or else in the body.
+Of these, slots that repeat their texts over the host's pages are template: they count only on a page that fills no other.
 
-Only the distinct streams of a host travel: first in salted groups, then one wrapper per group.
+Only the distinct streams of a host travel: first in salted groups, then one wrapper per group. Of the texts in its
+slots only 64-bit hashes do.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -37,6 +40,8 @@ ASIDE_WORDS = frozenset((
     "related recommended breadcrumb breadcrumbs pagination pager newsletter subscribe signup login search widget toolbar form contentinfo complementary hidden").split())
 MAIN_WORDS = frozenset("article main content post entry story body".split())
 SALTS = 32
+#: A slot is template if so many different pages fill it per distinct text, or more. Fixed value.
+TEMPLATE = 5
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -189,15 +194,23 @@ def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]
             yield from slots(["", "", children], path if name == "()" else (*path, name))
 
 
-def main_slots(wrapper: list) -> list[set[str]]:
-    """The slots that may hold the main text, best kind first: in an article, in a main container, in one named like it, any other."""
-    open_ = [p for p in dict.fromkeys(slots(wrapper)) if not any(_is_aside(n) for n in p)]
+def _is_open(path: tuple[str, ...]) -> bool:
+    return not any(_is_aside(n) for n in path)
+
+
+def main_slots(wrapper: list, template: Iterable[str] = ()) -> list[set[str]]:
+    """The slots that may hold the main text, best kind first: in an article, in a main container, in one named like it, any other.
+
+    Each kind comes without its ``template`` slots first; the kinds with them follow, for pages that fill no others.
+    """
+    open_ = [p for p in dict.fromkeys(slots(wrapper)) if _is_open(p)]
     tests = (
         lambda n: n.split(".")[0] == "article",
         lambda n: n.split(".")[0] == "main" or "main" in n.split(".")[1:],
         lambda n: bool(MAIN_WORDS & set(n.split(".")[1:])),
     )
-    return [{"/".join(p) for p in open_ if any(holds(n) for n in p)} for holds in tests] + [{"/".join(p) for p in open_}]
+    kinds = [{"/".join(p) for p in open_ if any(holds(n) for n in p)} for holds in tests] + [{"/".join(p) for p in open_}]
+    return [kind.difference(template) for kind in kinds] + kinds
 
 
 def main_text(page: _Page, kinds: list[set[str]]) -> str:
@@ -209,15 +222,42 @@ def main_text(page: _Page, kinds: list[set[str]]) -> str:
     return ""
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def filled(page: _Page) -> tuple[int, list[dict]]:
+    """A page's name, the hash of its longest open block, and the hash of the text of each open slot it fills."""
+    texts: dict[str, list[str]] = {}
+    for path, text in page.blocks:
+        texts.setdefault(path, []).append(text)
+    texts = {path: t for path, t in texts.items() if _is_open(tuple(path.split("/")))}
+    longest = max((t for each in texts.values() for t in each), key=lambda t: (len(t), t), default="")
+    return _hash(longest), [{"path": path, "text": _hash("\n".join(t))} for path, t in texts.items()]
+
+
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Per host (null: no host): its ``wrapper`` as JSON. A host's distinct streams are aligned, the most frequent ones first."""
+    """Per host (empty: no host): its ``wrapper`` as JSON and the paths of its ``template`` slots.
+
+    A host's distinct streams are aligned, the most frequent ones first. Per slot it is counted how many different pages
+    fill it and with how many distinct texts; pages with the same longest block count once, so copies of a page make no template.
+    """
+    kinds = pa.list_(pa.struct([("path", pa.string()), ("text", pa.int64())]))
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                found = [json.dumps(folded(parsed(h.as_py()).tree)) for h in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["host", "wrapper"])
+                found, names, texts = [], [], []
+                for h in batch.column(1):
+                    page = parsed(h.as_py())
+                    found.append(json.dumps(folded(page.tree)))
+                    name, slot = filled(page)
+                    names.append(name)
+                    texts.append(slot)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(found, pa.string()), pa.array(names, pa.int64()), pa.array(texts, kinds)],
+                    ["host", "wrapper", "page", "slots"])
 
     def align(part: pd.DataFrame) -> str:
         best = part.sort_values(["pages", "wrapper"], ascending=[False, True])["wrapper"]
@@ -230,37 +270,43 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
         return pd.DataFrame({"host": [key[0]], "wrapper": [align(part)], "pages": [int(part["pages"].sum())]})
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)).alias("host")
-    each = pages.select(host, F.col(html).alias("html")).mapInArrow(streams, "host string, wrapper string")
+    each = stored(pages.select(host, F.col(html).alias("html")).mapInArrow(
+        streams, "host string, wrapper string, page bigint, slots array<struct<path:string,text:bigint>>"), "streams")
+    texts = each.select("host", "page", F.explode("slots").alias("s")).groupBy("host", "s.path").agg(
+        F.count_distinct("page").alias("filled"), F.count_distinct("s.text").alias("texts"))
+    template = texts.where(F.col("filled") >= TEMPLATE * F.col("texts")).groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("template"))
     counted = each.groupBy("host", "wrapper").agg(F.count(F.lit(1)).alias("pages"))
     salted = counted.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).cast("int"))
     shape = "host string, wrapper string, pages bigint"
     parts = salted.groupBy("host", "salt").applyInPandas(by_salt, shape)
-    return parts.groupBy("host").applyInPandas(lambda key, part: by_salt(key, part), shape).drop("pages")
+    whole = parts.groupBy("host").applyInPandas(lambda key, part: by_salt(key, part), shape).drop("pages")
+    return whole.join(template, "host", "left")
 
 
 def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """``keep``, ``url`` and ``text``: blocks of the main slots in page order, joined by an empty line.
+    """``keep``, ``url`` and ``text``: blocks of the main slots that are not template, in page order, joined by an empty line.
 
     Null and empty pages have an empty text, and pages without a host share a wrapper. Repeated rows are kept.
     """
     found = stored(wrappers(pages, url, html), "wrappers")
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select(host.alias("_host"), *[F.col(f"`{c}`") for c in keep], F.col(url).alias("_url"), F.col(html).alias("_html"))
-    joined = rows.join(found.withColumnRenamed("host", "_host"), "_host").select(*[F.col(f"`{c}`") for c in keep], "_url", "_html", "wrapper")
+    joined = rows.join(found.withColumnRenamed("host", "_host"), "_host").select(*[F.col(f"`{c}`") for c in keep], "_url", "_html", "wrapper", "template")
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[set[str]]] = {}
+        known: dict[tuple[str, tuple[str, ...]], list[set[str]]] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 texts = []
-                for page, wrapper in zip(batch.column(n + 1).to_pylist(), batch.column(n + 2).to_pylist(), strict=True):
-                    if wrapper not in known:
+                for page, *marks in zip(*[batch.column(n + i).to_pylist() for i in (1, 2, 3)], strict=True):
+                    key = (marks[0], tuple(marks[1] or ()))
+                    if key not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[wrapper] = main_slots(json.loads(wrapper))
-                    texts.append(main_text(parsed(page), known[wrapper]))
+                        known[key] = main_slots(json.loads(key[0]), key[1])
+                    texts.append(main_text(parsed(page), known[key]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[: n + 1], pa.array(texts, pa.string())], [*keep, url, "text"])
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*keep).schema.fields)

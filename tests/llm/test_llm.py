@@ -71,6 +71,18 @@ def test_page_text(spark):
     assert wrappers.extracted(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_slots_that_repeat_their_texts_over_a_host_are_template(spark):
+    def page(i, host="a"):
+        return f"http://{host}.example/{i}", f"<body><div class=x>Join us today</div><div class=y><p>Story {i} of many<p>and more {i}</div></body>"
+
+    rows = [(i, *page(i)) for i in range(6)] + [(6, "http://a.example/6", "<body><div class=x>Join us today</div></body>")]
+    rows += [(10 + i, *page(i, "few")) for i in range(4)] + [(20 + i, *page(0, "copies")) for i in range(8)]
+    found = {r.page_id: r.text for r in wrappers.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [found[i] for i in range(6)] == [f"Story {i} of many\n\nand more {i}" for i in range(6)] and found[6] == "Join us today"
+    assert all(found[10 + i] == f"Join us today\n\nStory {i} of many\n\nand more {i}" for i in range(4))
+    assert {found[20 + i] for i in range(8)} == {"Join us today\n\nStory 0 of many\n\nand more 0"}
+
+
 def test_wrapper_aligns_into_optional_and_repeated_groups():
     one, two = (wrappers.folded(wrappers.parsed(h).tree) for h in ("<ul><li>a<li>b</ul><div>x</div>", "<ul><li>a</ul><section>y</section><div>x</div>"))
     assert wrappers.expression(wrappers.merged(one, two)) == "<ul> (<li> T </li>)+ </ul> (<section> T </section>)? <div> T </div>"
