@@ -30,7 +30,9 @@ CONTAINERS = frozenset((
     "html body div section article main aside nav header footer form ul ol li dl dd dt table tbody thead tfoot tr td th "
     "blockquote figure figcaption details fieldset dialog menu address").split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 pre hr head title center summary caption".split())
-HIDDEN = frozenset("script style noscript template head title textarea select option button iframe object svg math canvas audio video".split())
+HIDDEN = frozenset("script style noscript template title textarea select datalist option button iframe object svg math canvas audio video".split())
+#: Hidden tags whose content holds no tags: what looks like one does not end them.
+RAW = frozenset("script style title textarea".split())
 VOID = frozenset("br hr img meta link input area base col embed source track wbr".split())
 #: Tags and words of a class, an id or a role that mark what is not the article. Fixed values.
 ASIDE_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
@@ -45,17 +47,96 @@ TEMPLATE = 5
 _WORD = re.compile(r"[a-z]+")
 
 
-class _Page(HTMLParser):
-    """Containers and blocks of a page: ``tree`` for the wrapper, ``blocks`` as (path of the slot, text)."""
+class _Events(HTMLParser):
+    """A page as a list of (kind, tag or text, attributes)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        self.found: list[tuple[str, str, list]] = []
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.found.append(("start", tag, attrs))
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self.found.append(("empty", tag, attrs))
+
+    def handle_endtag(self, tag: str) -> None:
+        self.found.append(("end", tag, []))
+
+    def handle_data(self, data: str) -> None:
+        self.found.append(("data", data, []))
+
+
+def _hidden(events: list[tuple[str, str, list]]) -> dict[int, int]:
+    """Where what a hidden element holds ends, by the place of its start tag.
+
+    Its own end tag ends it. An option also ends at the next option or block and with its parent; a script or style, whose
+    content is no markup, with the page. Another one that is still open when a container around it ends has no end and hides nothing.
+    """
+    ends: dict[int, int] = {}
+    raw: dict[str, int] = {}
+    for at, (kind, tag, _) in enumerate(events):
+        if tag in RAW and kind == "start":
+            raw[tag] = at
+        elif kind == "end" and tag in raw:
+            ends[raw.pop(tag)] = at + 1
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def close(at: int) -> str:
+        tag, start = open_.pop()
+        count[tag] -= 1
+        if tag == "option":
+            ends[start] = at
+        return tag
+
+    at = 0
+    while at < len(events):
+        kind, tag, _ = events[at]
+        if kind == "start":
+            if at in ends:
+                at = ends[at]
+                continue
+            if open_ and open_[-1][0] == "option" and (tag in BLOCKS or tag in ("option", "optgroup")):
+                close(at)
+            if tag in HIDDEN or tag in CONTAINERS:
+                open_.append((tag, at))
+                count[tag] = count.get(tag, 0) + 1
+        elif kind == "end" and count.get(tag):
+            start = next(i for t, i in reversed(open_) if t == tag)
+            while close(at) != tag:
+                pass
+            if tag in HIDDEN:
+                ends[start] = at + 1
+        at += 1
+    return ends | {start: len(events) for tag, start in open_ if tag in ("option", "script", "style")}
+
+
+class _Page:
+    """Containers and blocks of a page: ``tree`` for the wrapper, ``blocks`` as (path of the slot, text)."""
+
+    def __init__(self) -> None:
         self.tree: list = ["", []]
         self.stack: list[tuple[str, str, list]] = [("", "", self.tree)]
-        self.hidden: list[str] = []
         self.text: list[str] = []
         self.blocks: list[tuple[str, str]] = []
 
+    def read(self, events: list[tuple[str, str, list]]) -> None:
+        ends = _hidden(events)
+        at = 0
+        while at < len(events):
+            kind, tag, attrs = events[at]
+            if kind == "data":
+                self.text.append(tag)
+            elif kind == "end":
+                self.end(tag)
+            elif kind == "start":
+                self.start(tag, attrs)
+            elif tag == "br" or tag in BLOCKS:
+                self.start("br" if tag == "br" else "p", [])
+            at = ends.get(at, at + 1)
+        self.cut()
+
     def cut(self) -> None:
         words = " ".join("".join(self.text).split())
         self.text = []
@@ -63,37 +144,21 @@ class _Page(HTMLParser):
             self.blocks.append(("/".join(s[1] for s in self.stack[1:]), words))
             self.stack[-1][2][1].append(["T", []])
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.hidden:
-            if tag == self.hidden[-1]:
-                self.hidden.append(tag)
-            if tag != "body" or "head" not in self.hidden:
-                return
-            self.hidden.clear()
+    def start(self, tag: str, attrs: list) -> None:
         if tag == "br":
             self.text.append(" ")
         if tag in BLOCKS:
             self.cut()
             if tag in ("li", "tr", "td", "th", "dt", "dd") and self.stack[-1][0] == tag:
                 self.stack.pop()
-        if tag in HIDDEN:
-            self.hidden.append(tag)
-        elif tag in CONTAINERS and tag not in VOID:
+        if tag in CONTAINERS:
             marks = sorted({w for k, v in attrs if k in ("class", "id", "role", "itemprop") and v for w in _WORD.findall(v.lower())})
             name = ".".join([tag, *marks])
             node: list = [name, []]
             self.stack[-1][2][1].append(node)
             self.stack.append((tag, name, node))
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        if tag == "br" or tag in BLOCKS:
-            self.handle_starttag("br" if tag == "br" else "p", [])
-
-    def handle_endtag(self, tag: str) -> None:
-        if self.hidden:
-            if tag == self.hidden[-1]:
-                self.hidden.pop()
-            return
+    def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.cut()
         if tag in CONTAINERS:
@@ -102,16 +167,13 @@ class _Page(HTMLParser):
                     del self.stack[at:]
                     break
 
-    def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.text.append(data)
-
 
 def parsed(html: str | None) -> _Page:
+    events = _Events()
+    events.feed(html or "")
+    events.close()
     page = _Page()
-    page.feed(html or "")
-    page.close()
-    page.cut()
+    page.read(events.found)
     return page
 
 

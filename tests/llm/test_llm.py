@@ -71,6 +71,24 @@ def test_page_text(spark):
     assert wrappers.extracted(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ("<body><article><p>a<datalist id=d><option>x<option>y</datalist><p>b</article>", "a b"),
+    ("<body><article><p>a<select><option>x<option>y</select><p>b<option>x<p>c</article>", "a b c"),
+    ("<html><head><meta charset=utf-8><title>t</title><p>a<article>b</article>", "a b"),
+    ("<html><head><title>t</title><noscript><p>n</noscript><article>a</article>", "a"),
+    ("<html><head><title>t</title><h1>a</h1>b</head><body>c", "a b c"),
+    ("<html><head><title>t</title> a", "a"),
+    *((f"<body><article><div><p>a<{tag}><p>x</div><p>b</article>", "a x b") for tag in ("button", "iframe", "object", "noscript", "template", "canvas")),
+    *((f"<body><article><p>a<{tag}><div><p>x</div></{tag}><p>b</article>", "a b") for tag in ("button", "iframe", "object", "noscript", "template", "canvas")),
+    ("<body><p>a<noscript><p>b<button>c</button>", "a b"),
+    ("<body><div>a<textarea></div></textarea>b</div><title>c", "ab c"),
+    ("<body><p>a<script>if (x < y) '</p><p>b'", "a"),
+    ("<body><p>a<svg><title>x</title><g/></svg>b<video src=v><p>x</video>c", "abc"),
+])
+def test_hidden_elements_end(html, want):
+    assert " ".join(" ".join(text for _, text in wrappers.parsed(html).blocks).split()) == want
+
+
 def test_slots_that_repeat_their_texts_over_a_host_are_template(spark):
     def page(i, host="a"):
         return f"http://{host}.example/{i}", f"<body><div class=x>Join us today</div><div class=y><p>Story {i} of many<p>and more {i}</div></body>"
