@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -34,16 +35,30 @@ HIDDEN = frozenset("script style noscript template title textarea select datalis
 #: Hidden tags whose content holds no tags: what looks like one does not end them.
 RAW = frozenset("script style title textarea".split())
 VOID = frozenset("br hr img meta link input area base col embed source track wbr".split())
-#: Tags and words of a class, an id or a role that mark what is not the article. Fixed values.
+#: Tags and names of a class, an id or a role that mark what is not the article. A name counts as a whole: all parts between
+#: its hyphens must be such words or tell only place or form, so neither has-sidebar nor entry-header is one. Fixed values.
 ASIDE_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 ASIDE_WORDS = frozenset((
     "nav navbar navigation menu menubar header masthead footer sidebar aside rail ad ads advert advertisement advertising adbox sponsor sponsored promo "
     "banner cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply replies disqus respond share sharing social "
     "related recommended breadcrumb breadcrumbs pagination pager newsletter subscribe signup login search widget toolbar form contentinfo complementary hidden").split())
+PLACE_WORDS = frozenset((
+    "site main page left right top bottom upper lower primary secondary tertiary first second global sticky fixed box area list wrap wrapper container "
+    "section block bar panel inner outer link links item items post posts story stories article articles text button buttons icon icons").split())
+#: A header's name may tell its place only by these: entry-header or page-header hold headlines.
+SITE_WORDS = frozenset("site global top sticky fixed wrap wrapper container section block bar inner outer".split())
+#: Of the tags and words, those that hold no page: their containers are aside even if they hold most of a page's text.
+NEVER_TAGS = frozenset("nav header footer aside menu".split())
+NEVER_WORDS = frozenset((
+    "nav navbar navigation menu menubar header masthead footer ad ads advert advertisement advertising adbox sponsor sponsored banner cookie cookies "
+    "consent gdpr comment comments reply replies disqus respond share sharing related recommended breadcrumb breadcrumbs pagination pager contentinfo").split())
 MAIN_WORDS = frozenset("article main content post entry story body".split())
 SALTS = 32
 #: A slot is template if so many different pages fill it per distinct text, or more. Fixed value.
 TEMPLATE = 5
+ARTICLE_TAGS = frozenset("article main".split())
+#: Ends the name of a container that is marked as aside and yet holds the page's text.
+HOLDS = "."
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -117,8 +132,11 @@ class _Page:
 
     def __init__(self) -> None:
         self.tree: list = ["", []]
-        self.stack: list[tuple[str, str, list]] = [("", "", self.tree)]
+        self.stack: list[tuple[str, list, int]] = [("", self.tree, 0)]
         self.text: list[str] = []
+        #: Every container as (its node in the tree, the place of the one around it, characters right in it).
+        self.nodes: list[list] = [[self.tree, 0, 0]]
+        self.found: list[tuple[int, str]] = []
         self.blocks: list[tuple[str, str]] = []
 
     def read(self, events: list[tuple[str, str, list]]) -> None:
@@ -136,13 +154,25 @@ class _Page:
                 self.start("br" if tag == "br" else "p", [])
             at = ends.get(at, at + 1)
         self.cut()
+        for node in _holders(self.nodes):
+            self.nodes[node][0][0] += HOLDS
+        self.blocks = [(self.path(node), text) for node, text in self.found]
+
+    def path(self, at: int) -> str:
+        names = []
+        while at:
+            names.append(self.nodes[at][0][0])
+            at = self.nodes[at][1]
+        return "/".join(reversed(names))
 
     def cut(self) -> None:
         words = " ".join("".join(self.text).split())
         self.text = []
         if words:
-            self.blocks.append(("/".join(s[1] for s in self.stack[1:]), words))
-            self.stack[-1][2][1].append(["T", []])
+            _, node, at = self.stack[-1]
+            self.found.append((at, words))
+            self.nodes[at][2] += len(words)
+            node[1].append(["T", []])
 
     def start(self, tag: str, attrs: list) -> None:
         if tag == "br":
@@ -152,11 +182,13 @@ class _Page:
             if tag in ("li", "tr", "td", "th", "dt", "dd") and self.stack[-1][0] == tag:
                 self.stack.pop()
         if tag in CONTAINERS:
-            marks = sorted({w for k, v in attrs if k in ("class", "id", "role", "itemprop") and v for w in _WORD.findall(v.lower())})
-            name = ".".join([tag, *marks])
-            node: list = [name, []]
-            self.stack[-1][2][1].append(node)
-            self.stack.append((tag, name, node))
+            named = [w for k, v in attrs if k in ("class", "id", "role", "itemprop") and v for w in v.lower().split()]
+            marks = sorted({"-".join(_WORD.findall(w)) for w in named} - {""})
+            node: list = [".".join([tag, *marks]), []]
+            _, around, at = self.stack[-1]
+            around[1].append(node)
+            self.nodes.append([node, at, 0])
+            self.stack.append((tag, node, len(self.nodes) - 1))
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -242,9 +274,63 @@ def expression(wrapper: list) -> str:
     return f"({body}){wrapper[1]}" if wrapper[1] else body
 
 
-def _is_aside(name: str) -> bool:
+def _words(name: str) -> set[str]:
+    return {w for mark in name.split(".")[1:] for w in mark.split("-")}
+
+
+@lru_cache(maxsize=10_000)
+def _names_aside(mark: str, in_article: bool) -> bool:
+    parts = set(mark.split("-"))
+    if "header" in parts:
+        return not in_article and parts <= ASIDE_WORDS | SITE_WORDS
+    return bool(ASIDE_WORDS & parts) and parts <= ASIDE_WORDS | PLACE_WORDS
+
+
+def _is_aside(name: str, in_article: bool = False) -> bool:
+    """Whether a container is not the article: neither the page, nor a holder of its text, nor the article's own header."""
+    tag, *marks = name.split(".")
+    if name.endswith(HOLDS) or tag in ("html", "body") or (tag == "header" and in_article):
+        return False
+    return tag in ASIDE_TAGS or any(_names_aside(m, in_article) for m in marks)
+
+
+def _holds_no_page(name: str, in_article: bool) -> bool:
     tag, *marks = name.split(".")
-    return tag in ASIDE_TAGS or bool(ASIDE_WORDS & set(marks))
+    return tag in NEVER_TAGS or any(NEVER_WORDS & set(m.split("-")) for m in marks if _names_aside(m, in_article))
+
+
+def _holders(nodes: list[list]) -> list[int]:
+    """The places of containers that are marked as aside, but hold a page's article or most of its text.
+
+    A page with text in an article or main container outside all marked ones has none. Menus, comments, adverts and the
+    like hold a page only if they hold an article and no text is outside.
+    """
+    names = [node[0] for node, _, _ in nodes]
+    articles = [name.split(".")[0] in ARTICLE_TAGS for name in names]
+    inside, marked, under = [False], [False], [False]
+    for at, (_, around, _) in enumerate(nodes[1:], 1):
+        inside.append(inside[around] or articles[around])
+        marked.append(_is_aside(names[at], inside[at]))
+        under.append(marked[at] or under[around])
+    outside = [at for at in range(len(nodes)) if nodes[at][2] and not under[at]]
+    if not any(marked) or any(inside[at] or articles[at] for at in outside):
+        return []
+    total, most = sum(n for _, _, n in nodes), sum(nodes[at][2] for at in outside)
+    held, article = [n for _, _, n in nodes], [False] * len(nodes)
+    found = []
+    for at in range(len(nodes) - 1, 0, -1):
+        never = marked[at] and _holds_no_page(names[at], inside[at])
+        article[at] = article[at] or (articles[at] and held[at] > 0 and not never)
+        if marked[at]:
+            if never and (most or not article[at]):
+                continue
+            if not never and 2 * held[at] <= total and not (article[at] and held[at] > most):
+                continue
+            found.append(at)
+        around = nodes[at][1]
+        held[around] += held[at]
+        article[around] = article[around] or article[at]
+    return found
 
 
 def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
@@ -257,7 +343,12 @@ def slots(wrapper: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]
 
 
 def _is_open(path: tuple[str, ...]) -> bool:
-    return not any(_is_aside(n) for n in path)
+    in_article = False
+    for name in path:
+        if _is_aside(name, in_article):
+            return False
+        in_article = in_article or name.split(".")[0] in ARTICLE_TAGS
+    return True
 
 
 def main_slots(wrapper: list, template: Iterable[str] = ()) -> list[set[str]]:
@@ -268,8 +359,8 @@ def main_slots(wrapper: list, template: Iterable[str] = ()) -> list[set[str]]:
     open_ = [p for p in dict.fromkeys(slots(wrapper)) if _is_open(p)]
     tests = (
         lambda n: n.split(".")[0] == "article",
-        lambda n: n.split(".")[0] == "main" or "main" in n.split(".")[1:],
-        lambda n: bool(MAIN_WORDS & set(n.split(".")[1:])),
+        lambda n: n.split(".")[0] == "main" or "main" in _words(n),
+        lambda n: bool(MAIN_WORDS & _words(n)),
     )
     kinds = [{"/".join(p) for p in open_ if any(holds(n) for n in p)} for holds in tests] + [{"/".join(p) for p in open_}]
     return [kind.difference(template) for kind in kinds] + kinds

@@ -89,6 +89,26 @@ def test_hidden_elements_end(html, want):
     assert " ".join(" ".join(text for _, text in wrappers.parsed(html).blocks).split()) == want
 
 
+MAIN = "<article><div class=entry-header><h1>a</h1></div><p>long text of it</article>"
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    *((f"<html class=no-sidebar><body class='{c}'>{MAIN}<div class='sidebar-left'>s</div></body>", "a long text of it")
+      for c in ("single has-sidebar", "no-sidebar", "sidebar", "hidden", "form")),
+    *((f"<body><div class='{c}'>{MAIN}</div><div class='main-nav'>n</div>", "a long text of it") for c in ("overflow-hidden", "content-widget", "widget", "with-comments")),
+    (f"<body><form id=f><nav>n</nav><div class=toolbar>{MAIN}</div></form><footer>f</footer>", "a long text of it"),
+    ("<body><form><div class=x><p>no article but most of the text</div><div class=cookie-bar>c</div></form><p>t", "no article but most of the text t"),
+    ("<body><article><header><h1>a</h1></header><div class=header>b</div><nav>n</nav>c<div class=related-posts>r</div></article><header>h</header>", "a b c"),
+    ("<body><main>short</main><div class='sidebar'><article>a longer teaser than the page</article></div>", "short"),
+    ("<body><div class=x>short</div><div id=comments><article>a longer comment than the page</article></div>", "short"),
+    ("<body><div class='site-header'>h</div><div class='page-header'>a</div><p>b</p><div class='ad-banner'>c</div>", "a b"),
+    ("<body><div class=post-content>a</div><div class=x>b</div>", "a"),
+])
+def test_only_containers_beside_the_article_are_aside(html, want):
+    page = wrappers.parsed(html)
+    assert " ".join(wrappers.main_text(page, wrappers.main_slots(wrappers.folded(page.tree))).split()) == want
+
+
 def test_slots_that_repeat_their_texts_over_a_host_are_template(spark):
     def page(i, host="a"):
         return f"http://{host}.example/{i}", f"<body><div class=x>Join us today</div><div class=y><p>Story {i} of many<p>and more {i}</div></body>"
