@@ -195,6 +195,26 @@ def test_bin_completion_beats_best_fit():
     assert packed == Counter(counts) and packing.packed_bins({}, 10) == []
 
 
+@pytest.mark.parametrize(("counts", "capacity", "most"), [
+    ({13: 1, 7: 1, 8: 1, 10: 2, 12: 2, 15: 1}, 30, 3),
+    ({27: 1, 49: 1, 36: 1, 13: 1, 23: 1, 43: 1, 44: 1, 58: 1}, 100, 3),
+])
+def test_packing_branches_where_best_fit_misses_the_bound(counts, capacity, most):
+    assert all(sum(t for t, _ in make(counts, capacity)) > most for make in (packing.best_fit, packing.next_fillings))
+    best, proved = packing.searched(counts, capacity)
+    packed = Counter()
+    for times, filling in best:
+        assert sum(filling) <= capacity
+        packed.update({length: times * n for length, n in Counter(filling).items()})
+    assert proved and sum(t for t, _ in best) == most and packed == Counter(counts)
+    assert sum(t for t, _ in packing.packed_bins(counts, capacity)) == most and not packing.searched(counts, capacity, steps=1)[1]
+
+
+def test_best_fit_takes_the_bin_with_the_least_room():
+    # The two of length 3 go beside 7, not into the room that 6 leaves.
+    assert sorted(packing.best_fit({6: 1, 7: 2, 3: 2}, 10)) == [(1, (6,)), (2, (7, 3))]
+
+
 def test_token_files_round_trip(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
