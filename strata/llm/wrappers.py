@@ -6,8 +6,8 @@ repeated. The wrapper names every text slot of the host by its path; slots in me
 the like are not main, and of the rest those in the article are, or else in the main container, or else in the body.
 Of these, slots that repeat their texts over the host's pages are template: they count only on a page that fills no other.
 
-Only the distinct streams of a host travel: first in salted groups, then one wrapper per group. Of the texts in its
-slots only 64-bit hashes do.
+Only the distinct streams of a host travel. They are merged in levels: no task sees more than a bounded group of a host's
+streams at once, however many it has. Of the texts in its slots only 64-bit hashes travel.
 """
 
 from __future__ import annotations
@@ -53,7 +53,8 @@ NEVER_WORDS = frozenset((
     "nav navbar navigation menu menubar header masthead footer ad ads advert advertisement advertising adbox sponsor sponsored banner cookie cookies "
     "consent gdpr comment comments reply replies disqus respond share sharing related recommended breadcrumb breadcrumbs pagination pager contentinfo").split())
 MAIN_WORDS = frozenset("article main content post entry story body".split())
-SALTS = 32
+#: Streams or wrappers of a host that are aligned in one group, on the average of the first level and at most in the others.
+GROUP = 64
 #: A slot is template if so many different pages fill it per distinct text, or more. Fixed value.
 TEMPLATE = 5
 ARTICLE_TAGS = frozenset("article main".split())
@@ -420,7 +421,7 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
         return json.dumps(whole)
 
     def by_salt(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [key[0]], "wrapper": [align(part)], "pages": [int(part["pages"].sum())]})
+        return pd.DataFrame({"host": [key[0]], "salt": [key[1]], "wrapper": [align(part)], "pages": [int(part["pages"].sum())]})
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)).alias("host")
     each = stored(pages.select(host, F.col(html).alias("html")).mapInArrow(
@@ -429,10 +430,16 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
         F.count_distinct("page").alias("filled"), F.count_distinct("s.text").alias("texts"))
     template = texts.where(F.col("filled") >= TEMPLATE * F.col("texts")).groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("template"))
     counted = each.groupBy("host", "wrapper").agg(F.count(F.lit(1)).alias("pages"))
-    salted = counted.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).cast("int"))
-    shape = "host string, wrapper string, pages bigint"
-    parts = salted.groupBy("host", "salt").applyInPandas(by_salt, shape)
-    whole = parts.groupBy("host").applyInPandas(lambda key, part: by_salt(key, part), shape).drop("pages")
+    most = counted.groupBy("host").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    salts = -(-most // GROUP)
+    level = counted.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)))
+    while True:
+        level = level.groupBy("host", "salt").applyInPandas(by_salt, "host string, salt bigint, wrapper string, pages bigint")
+        if salts == 1:
+            break
+        salts = -(-salts // GROUP)
+        level = level.withColumn("salt", F.floor(F.col("salt") / GROUP))
+    whole = level.drop("salt", "pages")
     return whole.join(template, "host", "left")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -121,6 +122,16 @@ def test_slots_that_repeat_their_texts_over_a_host_are_template(spark):
     assert {found[20 + i] for i in range(8)} == {"Join us today\n\nStory 0 of many\n\nand more 0"}
 
 
+def test_wrappers_of_a_hot_host_are_merged_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "GROUP", 3)
+    rows = [("http://a.example/", "<article>" + "".join(f"<div class=k{chr(97 + i // 2 ** j % 2)}{chr(97 + j)}>x</div>" for j in range(6)) + "</article>") for i in range(64)]
+    rows += [("http://b.example/", "<p>b")]
+    found = wrappers.wrappers(spark.createDataFrame(rows, "url string, html string"))
+    got = {r.host: {"/".join(p) for p in wrappers.slots(json.loads(r.wrapper))} for r in found.collect()}
+    assert got == {"a.example": {f"article/div.k{c}{chr(97 + j)}" for c in "ab" for j in range(6)}, "b.example": {""}} and found.count() == 2
+    assert found._jdf.queryExecution().analyzed().toString().count("FlatMapGroupsInPandas") >= 4
+
+
 def test_wrapper_aligns_into_optional_and_repeated_groups():
     one, two = (wrappers.folded(wrappers.parsed(h).tree) for h in ("<ul><li>a<li>b</ul><div>x</div>", "<ul><li>a</ul><section>y</section><div>x</div>"))
     assert wrappers.expression(wrappers.merged(one, two)) == "<ul> (<li> T </li>)+ </ul> (<section> T </section>)? <div> T </div>"
