@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.llm.components import components
 from strata.llm.scratch import stored
@@ -348,6 +349,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     Rows with a null key have a null component. Null texts and texts without words have an empty set and link with nothing.
     Rows that repeat a key belong to one component only through their texts' links. An empty table gives an empty result.
     """
+    return _members(docs, key, text).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _members(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Per row of ``docs``: ``id``, ``n``, the ``node`` of its set, the ``component`` of that and the component's name ``component_id``."""
     scan = stored(_scan(docs, key, text), "ngram-scan")
     nodes = scan.where("kind = 0").select("id", F.col("a").alias("n"), F.col("b").alias("node"))
     reps = nodes.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
@@ -379,22 +385,40 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     # The name of a component is its smallest document id.
     member = reps.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = member.groupBy("component").agg(F.min("id").alias("component_id"))
-    by_node = member.join(names, "component").select("node", "component_id")
-    ids = nodes.where("id IS NOT NULL AND n > 0").join(by_node, "node").select("id", "n", "component_id")
-    bare = nodes.where("id IS NULL OR n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return ids.union(bare).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    by_node = member.join(names, "component").select("node", "component", "component_id")
+    ids = nodes.where("id IS NOT NULL AND n > 0").join(by_node, "node").select("id", "n", "node", "component", "component_id")
+    bare = nodes.where("id IS NULL OR n = 0").select("id", "n", "node", F.col("node").alias("component"), F.col("id").alias("component_id"))
+    return ids.union(bare)
+
+
+def _with_node(held: DataFrame) -> DataFrame:
+    """``held`` (``_id``, ``_text``, ``_row``) with the ``_node`` of its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint(shingles(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*batch.schema.names, "_node"])
+        _WORDS.clear()
+
+    return held.mapInArrow(run, StructType([*held.schema.fields, StructField("_node", LongType())]))
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps the document with its smallest key.
 
-    Of rows that repeat a kept key one stays. Rows with a null key cannot be named and stay. The columns are those of ``docs``.
+    Of rows that repeat a kept key one stays per component that the key names: unlinked texts of one key all stay, and a
+    copy of a smaller key's text does not. Rows with a null key cannot be named and stay. The columns are those of ``docs``.
     """
-    found = join(docs, key, text).where(F.col(key) == F.col("component_id"))
-    kept = stored(found.groupBy(F.col(key).alias("_id")).agg(F.count(F.lit(1)).alias("_rows")), "ngram-kept")
-    held = docs.select(F.col(f"`{key}`").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    stay = held.join(kept.where("_rows = 1"), "_id", "left_semi").unionByName(held.where("_id IS NULL"))
+    found = _members(docs, key, text).where("id IS NOT NULL")
+    named = F.col("id") == F.col("component_id")
+    counted = found.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(named).alias("_named"))
+    kept = stored(counted.where("_named > 0").drop("_named"), "ngram-kept")
+    held = docs.select(
+        F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    stay = held.join(kept.where("_rows = 1"), "_id", "left_semi").unionByName(held.where("_id IS NULL")).select("_row")
     again = kept.where("_rows > 1")
     if not again.isEmpty():
-        stay = stay.unionByName(held.join(again, "_id", "left_semi").dropDuplicates(["_id"]))
+        nodes = found.where(named).withColumnRenamed("id", "_id").join(again, "_id", "left_semi").groupBy("_id", "component").agg(F.min("node").alias("_node"))
+        rows = _with_node(held.join(again, "_id", "left_semi"))
+        stay = stay.unionByName(rows.join(nodes, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).select("_row"))
     return stay.select("_row.*")

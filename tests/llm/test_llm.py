@@ -328,6 +328,17 @@ def test_ngram_join_against_brute_force(spark):
     assert ngram_join.join(empty_docs(spark)).count() == 0
 
 
+def test_representatives_of_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    near = lambda t: t + " end"
+    rows = [(1, a), (1, a), (1, b), (2, c), (5, near(c)), (5, d), (6, ""), (6, None), (7, near(d)), (8, "x"), (8, "y"), (8, "x"), (9, near(b)), (None, a), (None, a)]
+    found = Counter((r.doc_id, r.text) for r in ngram_join.representatives(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    empty = found.pop((6, ""), 0) + found.pop((6, None), 0)
+    assert empty == 1 and found == Counter({(1, a): 1, (1, b): 1, (2, c): 1, (5, d): 1, (8, "x"): 1, (8, "y"): 1, (None, a): 2})
+    both = ngram_join.representatives(spark.createDataFrame([(1, a), (1, near(a)), (2, a)], "doc_id bigint, text string")).collect()
+    assert len(both) == 1 and both[0].doc_id == 1
+
+
 def test_sketches_never_rule_out_a_link(spark):
     rng = np.random.default_rng(5)
     sets, pairs = {}, []
