@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, classifier, embedding_join, ngram_join, packing, quality_rules, scratch, sharding, shipping, token_files, url_lists, wrappers
+from strata.llm import (
+    byte_bpe, classifier, collocations, embedding_join, lexical_search, mixing, ngram_join, packing, quality_rules, scratch, sharding, shipping,
+    token_files, url_lists, wrappers,
+)
 
 SHARDS = 40
 
@@ -92,7 +95,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     q.__name__: q
-    for q in (op1_page_text, op2_url_lists, op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op7_byte_bpe, op8_ngram_join, op9_quality_rules, op10_quality_classifier)
+    for q in (
+        op1_page_text, op2_url_lists, op3_shards, op4_packed_sequences, op5_token_files, op6_embedding_join, op7_byte_bpe, op8_ngram_join,
+        op9_quality_rules, op10_quality_classifier, op11_lexical_search, op12_collocations, op13_source_mix)
 }

@@ -79,7 +79,103 @@ SELECT c.page_id, c.url, c.day, r.rule IS NOT NULL AS blocked, r.rule
 FROM c LEFT JOIN r ON c.url = r.url AND c.day = r.day
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Scores of all documents for all items in whole numbers, and the first ten of each item.
+LEXICAL_SEARCH = rf"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+d AS (
+  SELECT doc_id, CAST(len(ts) AS BIGINT) AS n FROM t WHERE len(ts) > 0),
+s AS (
+  SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+f AS (
+  SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM t) GROUP BY ALL),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, CAST(count(*) AS BIGINT) AS df FROM f GROUP BY term), s),
+r AS (
+  SELECT item_id, f.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM i JOIN f ON i.term = f.term JOIN w ON w.term = f.term JOIN d ON d.doc_id = f.doc_id, s
+  GROUP BY item_id, f.doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 10
+"""
+
+#: Every n-gram of a piece counted, and the phrases ranked.
+COLLOCATIONS = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k, unnest([array_to_string(list_slice(ws, i, i + k - 1), ' ') for i in range(1, len(ws) - k + 2)]) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS BIGINT) AS f FROM g GROUP BY ALL),
+n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+x AS (
+  SELECT lang, k, phrase, a, array_to_string(list_slice(ws, 1, j), ' ') AS p1, array_to_string(list_slice(ws, j + 1, k), ' ') AS p2, j
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+y AS (
+  SELECT x.lang, x.k, x.phrase, a, u.f AS l, v.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (CAST(u.f AS HUGEINT) + v.f) AS BIGINT) AS score
+  FROM x JOIN f u ON u.lang = x.lang AND u.phrase = p1 JOIN f v ON v.lang = x.lang AND v.phrase = p2
+  QUALIFY row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY score, j) = 1),
+o AS (
+  SELECT lang, phrase, max(a) AS b FROM (
+    SELECT lang, a, unnest([array_to_string(list_slice(ws, i, i + m - 1), ' ') for i in range(1, k - m + 2)]) AS phrase
+    FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)
+  GROUP BY ALL)
+SELECT y.lang, row_number() OVER (PARTITION BY y.lang ORDER BY score DESC, a DESC, y.phrase) AS rank, y.phrase, a, l, r, n, score
+FROM y JOIN n ON n.lang = y.lang LEFT JOIN o ON o.lang = y.lang AND o.phrase = y.phrase
+WHERE o.b IS NULL OR CAST(100 AS HUGEINT) * o.b < CAST(80 AS HUGEINT) * a
+QUALIFY rank <= 2000
+"""
+
+#: Targets by the level at which the sources fill, and each source's documents in the order of their keys.
+SOURCE_MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size FROM documents),
+k AS (
+  SELECT doc_id, source, size, -ln((CAST(CAST('0x' || md5('mix:' || CAST(doc_id AS VARCHAR))[1:13] AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+    / CASE WHEN size > 0 THEN CAST(size AS DOUBLE) / CAST(size + 10 * (length(t) - length(translate(t, '#*$%&|<>', ''))) AS DOUBLE) ELSE 1.0 END AS draw
+  FROM d),
+s AS (
+  SELECT source, ss, 3 * ss AS most, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS ss FROM k GROUP BY source)),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(most AS DOUBLE) / w, source NULLS LAST) AS i FROM s),
+q AS (
+  SELECT *, (SELECT sum(ss) FROM s) - coalesce(sum(most) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
+    sum(w) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS den FROM o),
+level AS (
+  SELECT num, den FROM q WHERE CAST(most AS HUGEINT) * den > CAST(num AS HUGEINT) * w ORDER BY i LIMIT 1),
+g AS (
+  SELECT source, ss, CASE WHEN level.num IS NULL OR CAST(most AS HUGEINT) * level.den <= CAST(level.num AS HUGEINT) * w THEN CAST(most AS DOUBLE)
+    ELSE w * (CAST(level.num AS DOUBLE) / CAST(level.den AS DOUBLE)) END AS target
+  FROM s LEFT JOIN level ON true),
+u AS (
+  SELECT k.doc_id, k.size, ss, target, CASE WHEN ss > 0 THEN CAST(floor(target / ss) AS BIGINT) ELSE 0 END AS e,
+    sum(k.size) OVER (PARTITION BY k.source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM k JOIN g ON k.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, ss AS source_size, target,
+  CAST(size * least(3, e + CASE WHEN ss > 0 AND CAST(2 * upto - size AS DOUBLE) <= 2 * (target - e * ss) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM u
+"""
+
 ORACLE = {
     "op2_url_lists": URL_LISTS,
     "op9_quality_rules": QUALITY_RULES,
+    "op11_lexical_search": LEXICAL_SEARCH,
+    "op12_collocations": COLLOCATIONS,
+    "op13_source_mix": SOURCE_MIX,
 }
