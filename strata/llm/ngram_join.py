@@ -28,6 +28,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.llm.components import components
 from strata.llm.scratch import stored
+from strata.llm.tokens import slices
+from strata.llm.word_hashes import mixed, words
 
 NGRAM = 5
 #: Jaccard of 80 / 100, in integers.
@@ -51,39 +53,48 @@ LEADER_TURNS = 6
 PAIRS_PER_ROW = 0.6
 
 _K = np.uint64(0x9E3779B97F4A7C15)
-_M = np.uint64(0xFF51AFD7ED558CCD)
-_MOST_WORDS = 200_000
+#: White space between words becomes a blank, A-Z become a-z.
+_FOLD = bytes(0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: Bytes of text that are cut into words together.
+SLICE_BYTES = 2 << 20
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
+def shingle_sets(texts: list[bytes | None], n: int = NGRAM) -> list[np.ndarray]:
+    """Per text the sorted hashes of the distinct n-grams of its words; A-Z count as a-z. Fewer than ``n`` words are one
+    n-gram; without words, or for null, the set is empty."""
+    texts = [t or b"" for t in texts]
+    starts, _, (h,) = words(b" ".join(texts).translate(_FOLD), b" ")
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0)
+    grams = np.full(max(0, len(h) - n + 1), n, dtype=np.uint64)
+    for i in range(n):
+        grams = mixed(grams * _K + h[i : i + len(grams)])
+    out, at = [], 0
+    for count in counts.tolist():
+        if count >= n:
+            out.append(np.unique(grams[at : at + count - n + 1]))
+        elif count:
+            whole = np.full(1, count, dtype=np.uint64)
+            for i in range(at, at + count):
+                whole = mixed(whole * _K + h[i : i + 1])
+            out.append(whole)
+        else:
+            out.append(np.empty(0, np.uint64))
+        at += count
+    return out
 
-_WORDS = _Words()
 
+def shingles(text: str | None, n: int = NGRAM) -> np.ndarray:
+    """The set of one text."""
+    return shingle_sets([(text or "").encode("utf-8", "replace")], n)[0]
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * _M
-    return x ^ (x >> np.uint64(29))
 
-
-def shingles(text: str | None, n: int = NGRAM) -> np.ndarray:
-    """Sorted hashes of the distinct n-grams of a text's words; A-Z count as a-z. Fewer than ``n`` words are one
-    n-gram; without words, or for null, the set is empty."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(_WORDS) > _MOST_WORDS:
-        _WORDS.clear()
-    h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
-    size = min(n, len(h))
-    out = np.full(len(h) - size + 1, size, dtype=np.uint64)
-    for i in range(size):
-        out = _mixed(out * _K + h[i : len(h) - size + 1 + i])
-    return np.unique(out)
+def _parts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches with the sets of their texts."""
+    for whole in batches:
+        for part in slices(whole, text, SLICE_BYTES):
+            yield part, shingle_sets(part.column(text).cast(pa.large_binary()).to_pylist())
+        pa.default_memory_pool().release_unused()
 
 
 def fingerprint(found: np.ndarray) -> int:
@@ -127,19 +138,14 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield rows(1, [None] * int(often.sum()), counts[often].astype(np.int64), found[often].view(np.int64))
             yield rows(2, [None], [int(rest.sum())], [int((rest * rest).sum())])
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                sets = [shingles(t.as_py()) for t in batch.column(1)]
-                yield rows(0, batch.column(0).to_pylist(), [len(s) for s in sets], [fingerprint(s) for s in sets], [sketch(s) for s in sets])
-                for s in sets:
-                    held.append(s)
-                    size += len(s)
-                    if size >= BLOCK:
-                        yield from counted()
-                        held, size = [], 0
-            pa.default_memory_pool().release_unused()
-        _WORDS.clear()  # the worker may serve other operators next
+        for batch, sets in _parts(batches, 1):
+            yield rows(0, batch.column(0).to_pylist(), [len(s) for s in sets], [fingerprint(s) for s in sets], [sketch(s) for s in sets])
+            for s in sets:
+                held.append(s)
+                size += len(s)
+                if size >= BLOCK:
+                    yield from counted()
+                    held, size = [], 0
         if held:
             yield from counted()
 
@@ -189,9 +195,8 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
             one = np.ones(len(sig), dtype=np.int64)
             out.append([sig.view(np.int64), salt.astype(np.int32), one * node, (one * n).astype(np.int32), pos.astype(np.int32), (one * role).astype(np.int32)])
 
-        for whole in batches:
-            for item in whole.column(0):
-                found = shingles(item.as_py())
+        for _, sets in _parts(batches, 0):
+            for found in sets:
                 n = len(found)
                 if n < 4:  # such sets reach the threshold with equal sets only
                     continue
@@ -212,13 +217,11 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
                     first = order[: p + 1]
                     i, j = np.triu_indices(len(first), 1)
                     a, b = found[first[i]], found[first[j]]
-                    add(_mixed(_mixed(a * _K) + b), np.minimum(known[first[i]], known[first[j]]), i, node, n, 0)
+                    add(mixed(mixed(a * _K) + b), np.minimum(known[first[i]], known[first[j]]), i, node, n, 0)
                 held += len(out[-1][0])
                 if held > 50_000:
                     yield flushed()
                     out, held = [], 0
-            pa.default_memory_pool().release_unused()
-        _WORDS.clear()
         if out:
             yield flushed()
 
@@ -287,14 +290,11 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     found = some.mapInArrow(sift, "id bigint, _text string").join(wanted.hint("merge"), "id").select("node", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                sets = [shingles(t.as_py()) for t in batch.column(1)]
-                keep = [i for i, (s, k) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if fingerprint(s) == k]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64()))],
-                    ["node", "set"])
+        for batch, sets in _parts(batches, 1):
+            keep = [i for i, (s, k) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if fingerprint(s) == k]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64()))],
+                ["node", "set"])
 
     return found.mapInArrow(run, "node bigint, set array<bigint>")
 
@@ -395,10 +395,9 @@ def _with_node(held: DataFrame) -> DataFrame:
     """``held`` (``_id``, ``_text``, ``_row``) with the ``_node`` of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fingerprint(shingles(t.as_py())) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*batch.schema.names, "_node"])
-        _WORDS.clear()
+        for batch, sets in _parts(batches, 1):
+            found = pa.array([fingerprint(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "_node"])
 
     return held.mapInArrow(run, StructType([*held.schema.fields, StructField("_node", LongType())]))
 
