@@ -1,14 +1,15 @@
 """Phrase collocations: frequent n-grams by mergeable Misra-Gries summaries, then exact counts in a second pass.
 
-N-grams are named by 64-bit hashes, whose first bits deal them to hash partitions. Tasks sum the n-grams of large
-blocks and send one summary per block and partition to the partition's task, which merges them with a bounded number of
-counters: when there are more, the next smaller count is taken off all of them. The capacity is ``SLACK`` times the
+N-grams are named by hashes, whose first bits deal them to hash partitions. Tasks sum the n-grams of large
+blocks and send one summary per block and partition, sorted and compressed, to the partition's task, which merges them with a bounded number
+of counters: when there are more, the next smaller count is taken off all of them. The capacity is ``SLACK`` times the
 partition's mass divided by the threshold, so counts are too low by less than the threshold at any time (a summary
 grows rather than let its error reach it), and every n-gram that reaches the threshold survives. Survivors set the bits of
 their partition's part of a filter of bounded size. Phrases of three and four words are summarised in a scan of
 their own, in which only those are counted whose pairs of neighbours all passed the filter.
 
-The last scan counts the n-grams that pass the filters exactly, by their words and not by their hashes. What a filter lets
+The last scan counts the n-grams that pass the filters exactly, by their words and not by their hashes; tasks sum what they meet
+before they send it, compressed, to the hash partitions. What a filter lets
 through in error, be it by chance or because a large corpus fills it, is counted as well and then falls below the threshold, so
 filters and hashes cost time but change no result.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.scratch import stored
 from strata.llm.tokens import slices
+from strata.llm.word_hashes import BASES, mixed, words
 
 #: Words in a phrase, at most.
 LONGEST = 4
@@ -36,10 +38,11 @@ PARTITION_MASS = 1 << 23
 BLOCK_MASS = 1 << 22
 #: Bits of one filter, all partitions together, and of one partition, at most.
 FILTER_BITS = 1 << 28
-PART_BITS = 1 << 22
-#: Bytes of text that are cut into words together, and phrases that a task counts before it sends them on.
+PART_BITS = 1 << 21
+#: Bytes of text that are cut into words together, rows of phrases that are summed together, and phrases that a task then holds.
 SLICE_BYTES = 2 << 20
-HELD_PHRASES = 200_000
+SUMMED_PHRASES = 600_000
+HELD_PHRASES = 400_000
 #: Rows that one window of a language is meant to sort.
 WINDOW_ROWS = 50_000
 #: What stands for a missing language. Fixed value.
@@ -48,33 +51,10 @@ NO_LANGUAGE = "und"
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _END, _GAP = 0x0A, 0x20
 _FOLD = bytes(_END if b in _PIECE_ENDS else _GAP if b == 0x09 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_MIX, _STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xD6E8FEB86659FD93)
-#: Bits of a hash that a summary keeps besides those that name the partition.
-_KEPT = 48
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * _MIX
-    return x ^ (x >> np.uint64(29))
-
-
-class _Powers:
-    """Powers of an odd base and of its inverse, modulo 2 to the 64."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def reach(self, n: int) -> None:
-        while len(self.up) < n:
-            more = len(self.up)
-            top = np.uint64(pow(self.base, more, 1 << 64)), np.uint64(pow(self.inverse, more, 1 << 64))
-            self.up, self.down = np.concatenate([self.up, self.up * top[0]]), np.concatenate([self.down, self.down * top[1]])
-
-
-_POWERS = tuple(_Powers(b) for b in _BASES)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Bits of an n-gram's name within its partition, and odd numbers that spread it over a filter. Fixed values.
+NAME_BITS = 32
+_SPREAD = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
 class Words:
@@ -82,20 +62,8 @@ class Words:
 
     def __init__(self, texts: list[bytes], lang: str, hashes: int = 1):
         self.buffer = b"\n".join(texts).translate(_FOLD) + b"\n"
-        raw = np.frombuffer(self.buffer, dtype=np.uint8)
-        blank = (raw == _GAP) | (raw == _END)
-        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-        if not blank[0]:
-            edge = np.concatenate([[0], edge])
-        self.starts, self.ends = edge[0::2], edge[1::2]
-        self.piece = np.searchsorted(np.flatnonzero(raw == _END), self.starts)
-        self.hashes = []
-        for powers in _POWERS[:hashes]:
-            powers.reach(len(raw) + 1)
-            upto = np.empty(len(raw) + 1, dtype=np.uint64)
-            upto[0] = 0
-            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers.up[: len(raw)], out=upto[1:])
-            self.hashes.append(_mixed((upto[self.ends] - upto[self.starts]) * powers.down[self.starts]))
+        self.starts, self.ends, self.hashes = words(self.buffer, bytes([_GAP, _END]), hashes)
+        self.piece = np.searchsorted(np.flatnonzero(np.frombuffer(self.buffer, dtype=np.uint8) == _END), self.starts)
         self.seed = _seed(lang)
 
     def __len__(self) -> int:
@@ -107,10 +75,10 @@ class Words:
 
     def grams(self, n: int, which: int = 0) -> np.ndarray:
         """Hashes of the ``n`` words from each place on."""
-        words, count = self.hashes[which], max(0, len(self) - n + 1)
+        own, count = self.hashes[which], max(0, len(self) - n + 1)
         out = np.full(count, (self.seed + n) % (1 << 64), dtype=np.uint64)
         for i in range(n):
-            out = _mixed(out * _STEP + words[i : i + count])
+            out = mixed(out * _STEP + own[i : i + count])
         return out
 
     def phrase(self, at: int, n: int) -> bytes:
@@ -123,7 +91,7 @@ class Words:
 def _seed(lang: str) -> int:
     value = 0
     for byte in lang.encode("utf-8", "replace"):
-        value = (value * _BASES[0] + byte + 1) % (1 << 64)
+        value = (value * BASES[0] + byte + 1) % (1 << 64)
     return value
 
 
@@ -137,33 +105,55 @@ def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
         yield lang, part.drop_null().to_pylist()
 
 
+def part_of(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The hash partition of each n-gram: the first bits of its hash."""
+    return grams >> np.uint64(64 - (parts.bit_length() - 1))
+
+
+def name_of(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The bits after those of the partition; sorted hashes have sorted names within a partition."""
+    return (grams >> np.uint64(64 - (parts.bit_length() - 1) - NAME_BITS)) & np.uint64((1 << NAME_BITS) - 1)
+
+
+def packed(names: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted names and their counts in few bytes: differences, by place of their bytes, compressed."""
+    both = np.concatenate([np.diff(names, prepend=names.dtype.type(0)).astype("<u4"), counts.astype("<u4")])
+    return pa.Codec("zstd", 1).compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+
+
+def unpacked(blob: pa.Buffer | bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(blob, 8 * n, asbytes=True), dtype=np.uint8)
+    both = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(both[:n].astype(np.uint64), dtype=np.uint64), both[n:].astype(np.int64)
+
+
 class Filter:
     """Bits of a set of n-grams: per hash partition the same number, three of them for each n-gram."""
 
     def __init__(self, parts: int, bits: int):
-        self.shift, self.bits = np.uint64(64 - (parts.bit_length() - 1)), bits
+        self.parts, self.bits = parts, bits
         self.held = np.zeros(parts * bits // 8, dtype=np.uint8)
 
     @staticmethod
-    def places(kept: np.ndarray, bits: int) -> list[np.ndarray]:
-        return [(kept >> np.uint64(s)) & np.uint64(bits - 1) for s in (0, 13, 26)]
+    def places(names: np.ndarray, bits: int) -> list[np.ndarray]:
+        return [((names * np.uint64(odd)) >> np.uint64(24)) & np.uint64(bits - 1) for odd in _SPREAD]
 
     @staticmethod
-    def part(kept: np.ndarray, bits: int) -> bytes:
+    def part(names: np.ndarray, bits: int) -> bytes:
         """One partition's bits with those of the n-grams set."""
         out = np.zeros(bits, dtype=bool)
-        for place in Filter.places(kept, bits):
+        for place in Filter.places(names, bits):
             out[place] = True
         return np.packbits(out, bitorder="little").tobytes()
 
-    def fill(self, part: int, packed: pa.Buffer | bytes) -> None:
+    def fill(self, part: int, found: pa.Buffer | bytes) -> None:
         size = self.bits // 8
-        self.held[part * size : (part + 1) * size] = np.frombuffer(packed, dtype=np.uint8)
+        self.held[part * size : (part + 1) * size] = np.frombuffer(found, dtype=np.uint8)
 
     def passes(self, grams: np.ndarray) -> np.ndarray:
-        base = (grams >> self.shift) * np.uint64(self.bits) if self.shift < 64 else np.uint64(0)
+        base = part_of(grams, self.parts) * np.uint64(self.bits)
         out = np.ones(len(grams), dtype=bool)
-        for place in self.places(grams & np.uint64((1 << _KEPT) - 1), self.bits):
+        for place in self.places(name_of(grams, self.parts), self.bits):
             at = base + place
             out &= (self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return out
@@ -179,7 +169,8 @@ def summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 class Summary:
     """A Misra-Gries summary that grows with its mass: counts are at most ``error`` too low, and ``error`` stays below
-    the threshold, so what occurred ``least`` times is never lost."""
+    the threshold, so what occurred ``least`` times is never lost. Its counters exceed the mass divided by the threshold ``slack`` times at
+    least, and up to eight times as often when the mass has grown a thousandfold since it was first full."""
 
     def __init__(self, least: int, slack: int = SLACK, counters: int = LEAST_COUNTERS):
         self.least, self.slack, self.counters = least, slack, counters
@@ -198,7 +189,9 @@ class Summary:
         names, counts = (np.concatenate([held, *(m[i] for m in self.more)]) for i, held in ((0, self.names), (1, self.counts)))
         self.more, self.waiting = [], 0
         names, counts = summed(names, counts)
-        capacity = max(self.counters, self.slack * self.mass // self.least + 1)
+        # With each quarter of the error that is used up, the rest is spent half as fast.
+        slack = self.slack << (4 * self.error // self.least)
+        capacity = max(self.counters, slack * self.mass // self.least + 1)
         if len(names) > capacity:
             off = int(np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1])
             if self.error + off < self.least:
@@ -217,29 +210,27 @@ def summaries(docs: DataFrame, lengths: tuple[int, ...], parts: int, pairs: Filt
 
     With ``pairs``, only n-grams whose pairs of neighbours all pass it.
     """
-    bits = parts.bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(pairs) if pairs is not None else None
 
-    def found(words: Words) -> Iterator[np.ndarray]:
-        passed = shared.value.passes(words.grams(2)) if shared is not None and len(words) > 1 else None
+    def found(text: Words) -> Iterator[np.ndarray]:
+        passed = shared.value.passes(text.grams(2)) if shared is not None and len(text) > 1 else None
         for n in lengths:
-            if len(words) < n:
+            if len(text) < n:
                 continue
-            fits = words.whole(n)
+            fits = text.whole(n)
             if passed is not None:
                 for i in range(n - 1):
                     fits &= passed[i : i + len(fits)]
-            yield words.grams(n)[fits]
+            yield text.grams(n)[fits]
 
     def rows(held: list[np.ndarray]) -> pa.RecordBatch:
         names, counts = np.unique(np.concatenate(held), return_counts=True)
-        ends = np.searchsorted(names >> np.uint64(64 - bits), np.arange(parts + 1))
-        low = names.astype("<u4")
-        high = ((names >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2")
-        counts = counts.astype("<u4")
+        ends = np.searchsorted(part_of(names, parts), np.arange(parts + 1))
         full = np.flatnonzero(ends[1:] > ends[:-1])
-        cut = [[x[ends[p] : ends[p + 1]].tobytes() for p in full] for x in (low, high, counts)]
-        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(c, pa.binary()) for c in cut)], ["part", "low", "high", "counts"])
+        names = name_of(names, parts)
+        blobs = [packed(names[ends[p] : ends[p + 1]], counts[ends[p] : ends[p + 1]]) for p in full]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int32()), pa.array(ends[full + 1] - ends[full], pa.int32()), pa.array(blobs, pa.binary())], ["part", "n", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -256,7 +247,7 @@ def summaries(docs: DataFrame, lengths: tuple[int, ...], parts: int, pairs: Filt
         if size:
             yield rows(held)
 
-    return docs.mapInArrow(run, "part int, low binary, high binary, counts binary")
+    return docs.mapInArrow(run, "part int, n int, blob binary")
 
 
 def survivors(counted: DataFrame, parts: int, bits: int, least: int) -> Filter:
@@ -270,14 +261,12 @@ def survivors(counted: DataFrame, parts: int, bits: int, least: int) -> Filter:
                 [pa.array([own], pa.int32()), pa.array([Filter.part(summary.survivors(), bits)], pa.binary())], ["part", "bits"])
 
         for batch in batches:
-            for part, low, high, counts in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for part, n, blob in zip(*(batch.column(i) for i in range(3)), strict=True):
                 if part.as_py() != own:
                     if summary is not None:
                         yield ended()
                     own, summary = part.as_py(), Summary(least)
-                names = np.frombuffer(high.as_buffer(), "<u2").astype(np.uint64) << np.uint64(32)
-                names |= np.frombuffer(low.as_buffer(), "<u4").astype(np.uint64)
-                summary.add(names, np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64))
+                summary.add(*unpacked(blob.as_buffer(), n.as_py()))
             pa.default_memory_pool().release_unused()
         if summary is not None:
             yield ended()
@@ -285,29 +274,49 @@ def survivors(counted: DataFrame, parts: int, bits: int, least: int) -> Filter:
     merged = counted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "part int, bits binary")
     found = merged.toArrow()  # at most FILTER_BITS in all
     out = Filter(parts, bits)
-    for part, packed in zip(found.column(0).to_pylist(), found.column(1), strict=True):
-        out.fill(part, packed.as_buffer())
+    for part, set_bits in zip(found.column(0).to_pylist(), found.column(1), strict=True):
+        out.fill(part, set_bits.as_buffer())
     return out
 
 
-def exact(docs: DataFrame, longest: int, short: Filter, long: Filter | None) -> DataFrame:
-    """``lang``, ``words``, ``phrase``, ``f`` (of a task's block) of the n-grams that pass a filter, and a row with ``words`` 0 for all words.
+_PHRASES = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.binary()), ("f", pa.int64())])
+
+
+def summed_phrases(held: list[pa.Table]) -> pa.Table:
+    """One row per part, language and phrase."""
+    if not held:
+        return _PHRASES.empty_table()
+    both = pa.concat_tables(held).group_by(["part", "lang", "words", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return both.rename_columns(["part", "lang", "words", "phrase", "f"]).select(_PHRASES.names)
+
+
+def exact(docs: DataFrame, longest: int, parts: int, short: Filter, long: Filter | None) -> DataFrame:
+    """Phrases of ``docs`` that pass a filter, with their counts in a task's part of the texts: a row per task and hash partition,
+    compressed. A phrase of no words counts all words of its language.
 
     The first filter is asked for one and two words, the second for more.
     """
     shared = docs.sparkSession.sparkContext.broadcast((short, long))
 
-    def rows(held: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.int32()),
-             pa.array([k[2] for k in held], pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())], ["lang", "words", "phrase", "f"])
-
-    def count(words: Words, lang: str, held: dict) -> None:
-        held[lang, 0, b""] = held.get((lang, 0, b""), 0) + len(words)
+    def rows(held: pa.Table) -> pa.RecordBatch:
+        packing = pa.ipc.IpcWriteOptions(compression="zstd")
+        held = held.sort_by([("part", "ascending"), ("words", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        part = held.column("part").to_numpy()
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        blobs = []
+        for at, end in zip(starts, [*starts[1:], len(part)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, _PHRASES, options=packing) as out:
+                out.write_table(held.slice(at, end - at))
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
+
+    def counted(text: Words, lang: str) -> Iterator[pa.Table]:
+        yield pa.Table.from_pydict({"part": [0], "lang": [lang], "words": [0], "phrase": [b""], "f": [len(text)]}, _PHRASES)
         passed = None
-        for n in range(1, min(longest, len(words)) + 1):
-            names = words.grams(n)
-            fits = words.whole(n)
+        for n in range(1, min(longest, len(text)) + 1):
+            names = text.grams(n)
+            fits = text.whole(n)
             if n <= 2:
                 fits &= shared.value[0].passes(names)
                 passed = fits
@@ -319,30 +328,67 @@ def exact(docs: DataFrame, longest: int, short: Filter, long: Filter | None) ->
             if not len(at):
                 continue
             # Equal n-grams are neighbours by the first hash; a second one, of another base, tells apart those that share it.
-            again = words.grams(n, 1)[at]
+            again = text.grams(n, 1)[at]
             order = np.argsort(names[at], kind="stable")
             one, two = names[at][order], again[order]
             first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
-            sizes = np.diff(np.append(first, len(order)))
-            for place, size in zip(at[order[first]].tolist(), sizes.tolist(), strict=True):
-                key = lang, n, words.phrase(place, n)
-                held[key] = held.get(key, 0) + size
+            phrases = [text.phrase(i, n) for i in at[order[first]].tolist()]
+            yield pa.Table.from_arrays(
+                [pa.array(part_of(one[first], parts).astype(np.int32)), pa.array([lang] * len(first), pa.string()), pa.array(np.full(len(first), n, np.int32)),
+                 pa.array(phrases, pa.binary()), pa.array(np.diff(np.append(first, len(order))), pa.int64())], schema=_PHRASES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
+        held: list[pa.Table] = []
+        size = 0
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
                 for lang, texts in by_language(part):
-                    if texts:
-                        count(Words(texts, lang, 2), lang, held)
-                if len(held) >= HELD_PHRASES:
-                    yield rows(held)
-                    held = {}
+                    for found in counted(Words(texts, lang, 2), lang) if texts else ():
+                        held.append(found)
+                        size += len(found)
+                if size >= SUMMED_PHRASES:
+                    held = [summed_phrases(held)]
+                    size = len(held[0])
+                    if size >= HELD_PHRASES:
+                        yield rows(held[0])
+                        held, size = [], 0
                 pa.default_memory_pool().release_unused()
         if held:
-            yield rows(held)
+            yield rows(summed_phrases(held))
+
+    return docs.mapInArrow(run, "part int, blob binary")
+
+
+def merged_phrases(counted: DataFrame, parts: int, least: int) -> DataFrame:
+    """``lang``, ``words``, ``phrase``, ``f`` of all rows of :func:`exact` together, of phrases that occur ``least`` times and of no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held, size = None, [], 0
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            found = summed_phrases(held)
+            often = pc.or_(pc.greater_equal(found.column("f"), least), pc.equal(found.column("words"), 0))
+            found = found.filter(often).drop_columns(["part"])
+            yield from found.set_column(2, "phrase", found.column("phrase").cast(pa.string())).combine_chunks().to_batches()
+
+        for batch in batches:
+            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if part != own:
+                    if held:
+                        yield from ended()
+                    own, held, size = part, [], 0
+                held.append(pa.ipc.open_stream(blob.as_buffer()).read_all())
+                size += len(held[-1])
+                if size >= 2 * SUMMED_PHRASES:
+                    # What stays is what the partition holds: its phrases that passed a filter.
+                    held = [summed_phrases(held)]
+                    size = 0
+            pa.default_memory_pool().release_unused()
+        if held:
+            yield from ended()
 
-    return docs.mapInArrow(run, "lang string, words int, phrase string, f bigint")
+    dealt = counted.repartition(parts, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "lang string, words int, phrase string, f bigint")
 
 
 def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, longest: int = LONGEST) -> DataFrame:
@@ -357,11 +403,10 @@ def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", least:
     short = survivors(summaries(rows, (1, 2), parts, None), parts, bits, least)
     lengths = tuple(range(3, longest + 1))
     long = survivors(summaries(rows, lengths, parts, short), parts, bits, least) if lengths else None
-    counts = exact(rows, longest, short, long).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-    return stored(counts.where((F.col("f") >= least) | (F.col("words") == 0)), "phrases")
+    return stored(merged_phrases(exact(rows, longest, parts, short, long), parts, least), "phrases")
 
 
-def _words(phrase: str) -> Column:
+def _split(phrase: str) -> Column:
     return F.split(phrase, " ")
 
 
@@ -372,8 +417,8 @@ def _join(words: Column, start: Column, length: Column) -> Column:
 def scored(counts: DataFrame) -> DataFrame:
     """``lang``, ``words``, ``phrase``, ``a``, ``l``, ``r``, ``score`` of phrases of two words and more, by their lowest-scoring cut (ties: the first)."""
     phrases = counts.where("words > 1").select("lang", "words", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
-    words = _words("phrase")
-    cuts = phrases.withColumn("_left", _join(words, F.lit(1), F.col("k"))).withColumn("_right", _join(words, F.col("k") + 1, F.col("words") - F.col("k")))
+    each = _split("phrase")
+    cuts = phrases.withColumn("_left", _join(each, F.lit(1), F.col("k"))).withColumn("_right", _join(each, F.col("k") + 1, F.col("words") - F.col("k")))
     own = counts.where("words > 0")
     left = own.select("lang", F.col("phrase").alias("_left"), F.col("f").alias("l"))
     right = own.select("lang", F.col("phrase").alias("_right"), F.col("f").alias("r"))
@@ -389,7 +434,7 @@ def covered(counts: DataFrame, percent: int) -> DataFrame:
     """``lang``, ``phrase`` of those whose words lie together in a longer phrase that occurs ``percent`` of a hundred times as often."""
     longer = counts.where("words > 2").select("lang", "words", "phrase", F.col("f").alias("b"))
     spans = F.flatten(F.transform(F.sequence(F.lit(2), F.col("words") - 1), lambda n: F.transform(
-        F.sequence(F.lit(1), F.col("words") - n + 1), lambda i: _join(_words("phrase"), i, n))))
+        F.sequence(F.lit(1), F.col("words") - n + 1), lambda i: _join(_split("phrase"), i, n))))
     inside = longer.select("lang", "b", F.explode(spans).alias("phrase")).groupBy("lang", "phrase").agg(F.max("b").alias("b"))
     whole = counts.where("words > 1").select("lang", "phrase", F.col("f").alias("a")).join(inside, ["lang", "phrase"])
     wide = "decimal(38,0)"
