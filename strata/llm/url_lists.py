@@ -4,8 +4,8 @@ A pattern is a host (``host:www.a.example``), a domain with all its hosts (``dom
 (``path:www.a.example/news/``). Each entry lists or delists a pattern from a day on. Built-in functions only.
 
 Patterns may be listed and delisted many times, and a host may hold a large part of all captures. So entries of one pattern
-and day are reduced to one before they are ordered, intervals are cut at the borders of periods, and the as-of join is by pattern *and*
-period, evaluated once per distinct URL and day.
+and day are reduced to one before they are ordered, intervals are cut at the borders of those periods in which captures ask for
+their pattern, and the as-of join is by pattern *and* period, evaluated once per distinct URL and day.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def intervals(entries: DataFrame, pattern: str = "pattern", day: str = "day", li
 
     Of several entries of a pattern on one day a listing wins. Entries with a null in any of the three columns are ignored.
     """
-    known = entries.select(F.col(pattern).alias("pattern"), F.col(day).cast("int").alias("day"), F.col(listed).cast("boolean").alias("listed"))
+    known = entries.select(F.col(pattern).alias("pattern"), F.col(day).try_cast("int").alias("day"), F.col(listed).try_cast("boolean").alias("listed"))
     known = known.where("pattern IS NOT NULL AND day IS NOT NULL AND listed IS NOT NULL")
     daily = known.groupBy("pattern", "day").agg(F.max("listed").alias("listed"))
     following = F.lead("day").over(Window.partitionBy("pattern").orderBy("day"))
@@ -50,21 +50,24 @@ def patterns(url: Column) -> Column:
 def judged(captures: DataFrame, entries: DataFrame, url: str = "url", day: str = "day") -> DataFrame:
     """``captures`` with ``blocked`` and ``rule``, the most specific pattern (path, host, domain; then the longest) that is listed on the day of the fetch.
 
-    Null or odd URLs and null days match nothing and are not blocked. Repeated rows are judged alike. An empty list blocks nothing.
+    Null or odd URLs, null days and days beyond 32 bits match nothing and are not blocked. Repeated rows are judged alike. An empty
+    list blocks nothing. Columns of ``captures`` named ``blocked`` or ``rule`` give way to the verdict.
     """
     spans = intervals(entries)
-    horizon = captures.agg(F.max(F.col(day).cast("int"))).first()[0] or 0
-    last = F.least(F.coalesce(F.col("until") - 1, F.lit(horizon)), F.lit(horizon))
-    cut = spans.where(F.col("since") <= horizon).withColumn(
-        "period", F.explode(F.sequence(F.floor(F.col("since") / PERIOD), F.floor(F.greatest(last, F.col("since")) / PERIOD))))
-    asked = captures.select(F.col(url).alias("_url"), F.col(day).cast("int").alias("_day")).where("_url IS NOT NULL AND _day IS NOT NULL").distinct()
+    when = F.col(day).try_cast("int")
+    asked = captures.select(F.col(url).alias("_url"), when.alias("_day")).where("_url IS NOT NULL AND _day IS NOT NULL").distinct()
     keys = asked.select("_url", "_day", F.floor(F.col("_day") / PERIOD).alias("period"), F.explode(patterns(F.col("_url"))).alias("pattern"))
+    # However long an interval is, only the periods in which captures ask for its pattern count.
+    wanted = keys.select("pattern", "period").distinct()
+    reaches = (F.floor(F.col("since") / PERIOD) <= F.col("period")) & (
+        F.col("until").isNull() | (F.floor((F.col("until").cast("bigint") - 1) / PERIOD) >= F.col("period")))
+    cut = spans.join(wanted, "pattern").where(reaches)
     active = (F.col("since") <= F.col("_day")) & (F.col("until").isNull() | (F.col("_day") < F.col("until")))
     met = keys.join(cut, ["pattern", "period"]).where(active)
     kind = F.substring_index("pattern", ":", 1)
     weight = F.struct(
         F.when(kind == "path", 3).when(kind == "host", 2).otherwise(1).alias("kind"), F.length("pattern").alias("length"), "pattern")
     verdict = met.groupBy("_url", "_day").agg(F.max(weight)["pattern"].alias("rule"))
-    own = [F.col(f"c.`{c}`") for c in captures.columns]
-    same = (F.col(f"c.`{url}`") == F.col("v._url")) & (F.col(f"c.`{day}`").cast("int") == F.col("v._day"))
+    own = [F.col(f"c.`{c}`") for c in captures.columns if c not in ("blocked", "rule")]
+    same = (F.col(f"c.`{url}`") == F.col("v._url")) & (F.col(f"c.`{day}`").try_cast("int") == F.col("v._day"))
     return captures.alias("c").join(verdict.alias("v"), same, "left").select(*own, F.col("v.rule").isNotNull().alias("blocked"), F.col("v.rule").alias("rule"))
