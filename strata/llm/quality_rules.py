@@ -26,14 +26,19 @@ STOP_WORDS = (
 )
 
 
+#: The languages of the list, as the language column names them. Fixed values.
+STOP_LANGUAGES = ("en", "fr", "de", "es")
+
+
 class Rule(NamedTuple):
-    """``measure`` must lie in ``least`` .. ``most`` for texts of at least ``from_words`` words."""
+    """``measure`` must lie in ``least`` .. ``most`` for texts of at least ``from_words`` words, of ``langs`` if there are any."""
 
     name: str
     measure: str
     least: float | None = None
     most: float | None = None
     from_words: int = 0
+    langs: tuple[str, ...] = ()
 
 
 #: The threshold table. ``base`` rules are the fixed floor, the others are this library's verdict.
@@ -42,10 +47,9 @@ BASE_RULES = (
     Rule("repeated_words", "repeat_share", most=0.2),
 )
 RULES = (
-    Rule("longest_text", "n_words", most=1_000_000),
     Rule("mean_word_length", "mean_word", least=2.0, most=14.0),
     Rule("symbols_per_word", "symbols_per_word", most=0.3),
-    Rule("stop_words", "stop_share", least=0.02, from_words=50),
+    Rule("stop_words", "stop_share", least=0.02, from_words=50, langs=STOP_LANGUAGES),
     Rule("repeated_lines", "dup_line_share", most=0.5),
     Rule("shouted_words", "shout_share", most=0.3),
 )
@@ -116,9 +120,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     )).drop("_words", "_lines", "_windows", "_sorted", "_starts", "_c")
 
 
-def compiled(rules: Sequence[Rule]) -> Column:
-    """The names of the rules that a row of measures breaks, as an array."""
+def compiled(rules: Sequence[Rule], lang: Column | None = None) -> Column:
+    """The names of the rules that a row of measures breaks, as an array. Rules of some languages hold where ``lang`` says so."""
     broken = []
+    lang = F.lit(None).cast("string") if lang is None else lang
     for rule in rules:
         value = F.col(f"_m.{rule.measure}")
         bad = F.lit(False)
@@ -126,21 +131,33 @@ def compiled(rules: Sequence[Rule]) -> Column:
             bad = bad | (value < rule.least)
         if rule.most is not None:
             bad = bad | (value > rule.most)
+        if rule.langs:
+            bad = bad & F.coalesce(lang.isin(*rule.langs), F.lit(False))
         broken.append(F.when(bad & (F.col("_m.n_words") >= rule.from_words), F.lit(rule.name)))
     return F.array_compact(F.array(*broken))
 
 
-def judged(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+VERDICT = ("_m", "_base", "_broken")
+
+
+def judged(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, lang: str = "lang") -> DataFrame:
     """``docs`` with ``_m`` (measures), ``_base`` and ``_broken`` (names of base rules and other rules that failed).
 
-    A null text counts as empty and fails the base rules. Repeated rows are judged each on its own.
+    A null text counts as empty and fails the base rules. Repeated rows are judged each on its own. Without a column ``lang``, and for
+    rows whose language is null or not one of a rule's, that rule does not hold. Columns of ``docs`` with one of the three names give way.
     """
-    return measures(docs, text).withColumn("_base", compiled(BASE_RULES)).withColumn("_broken", compiled(rules))
+    known = F.col(f"`{lang}`").cast("string") if lang in docs.columns else F.lit(None).cast("string")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    held = docs.select(row.alias("_row"), F.col(f"`{text}`").alias("_text"), known.alias("_lang"))
+    found = measures(held, "_text").withColumn("_base", compiled(BASE_RULES)).withColumn("_broken", compiled(rules, F.col("_lang")))
+    return found.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in VERDICT], *VERDICT)
 
 
-def kept(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+def kept(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that break no rule, with the columns of ``docs``, whatever their names."""
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    passed = F.when((F.size("_base") == 0) & (F.size("_broken") == 0), F.array("_row"))
+    known = F.col(f"`{lang}`").cast("string") if lang in docs.columns else F.lit(None).cast("string")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    held = docs.select(row.alias("_kept"), F.col(f"`{text}`").alias("_text"), known.alias("_lang"))
+    passed = F.when((F.size("_base") == 0) & (F.size("_broken") == 0), F.array("_kept"))
     # A plain filter would be pushed below the projections and compute every measure again for each of its uses.
-    return judged(held, "_text", rules).select(F.explode_outer(passed).alias("_row")).where("_row IS NOT NULL").select("_row.*")
+    return judged(held, "_text", rules, "_lang").select(F.explode_outer(passed).alias("_kept")).where("_kept IS NOT NULL").select("_kept.*")

@@ -80,7 +80,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return found.select(
         "doc_id", *[F.col(f"_m.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         (F.size("_base") > 0).alias("base_failed"), ((F.size("_base") == 0) & (F.size("_broken") == 0)).alias("kept"))

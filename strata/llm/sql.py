@@ -9,9 +9,9 @@ _STOP = ", ".join(f"'{w}', '{w.capitalize()}'" for w in STOP_WORDS)
 #: Measures of every row of ``documents`` and the verdict of the threshold table.
 QUALITY_RULES = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t FROM documents),
+  SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT doc_id, t,
+  SELECT doc_id, lang, t,
     list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g') <> '') AS ls
   FROM d),
@@ -24,7 +24,7 @@ cov AS (
   SELECT doc_id, sum(least(5, coalesce(nxt - i, 5))) AS n
   FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM dup) GROUP BY doc_id),
 m AS (
-  SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+  SELECT w.doc_id, w.lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
     len(list_filter(ws, lambda x: x IN ({_STOP}))) AS n_stop,
@@ -32,11 +32,10 @@ m AS (
   FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
 v AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-    n_words > 1000000
-    OR n_words > 0 AND (
+    n_words > 0 AND (
       word_chars / n_words < 2.0 OR word_chars / n_words > 14.0
       OR n_symbols / n_words > 0.3
-      OR n_words >= 50 AND n_stop / n_words < 0.02
+      OR n_words >= 50 AND n_stop / n_words < 0.02 AND coalesce(lang, '') IN ('en', 'fr', 'de', 'es')
       OR n_loud / n_words > 0.3)
     OR n_lines > 0 AND n_dup_lines / n_lines > 0.5 AS broken
   FROM m)
@@ -144,7 +143,8 @@ QUALIFY rank <= 2000
 SOURCE_MIX = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t,
-    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size FROM documents),
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size FROM documents),
 k AS (
   SELECT doc_id, source, size, -ln((CAST(CAST('0x' || md5('mix:' || CAST(doc_id AS VARCHAR))[1:13] AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
     / CASE WHEN size > 0 THEN CAST(size AS DOUBLE) / CAST(size + 10 * (length(t) - length(translate(t, '#*$%&|<>', ''))) AS DOUBLE) ELSE 1.0 END AS draw
