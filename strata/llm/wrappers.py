@@ -4,7 +4,8 @@ A page's tokens are its containers (tag and class) and text slots. Neighbours th
 streams of a host are then aligned one after the other: what matches is merged, what does not becomes optional or
 repeated. The wrapper names every text slot of the host by its path; slots in menus, adverts, forms, comments and
 the like are not main, and of the rest those in the article are, or else in the main container, or else in the body.
-Of these, slots that repeat their texts over the host's pages are template: they count only on a page that fills no other.
+Of these, slots outside articles and main containers that repeat their texts over the host's pages are template: they count only on a page
+that fills no other.
 
 Only the distinct streams of a host travel. They are merged in levels: no task sees more than a bounded group of a host's
 streams at once, however many it has. Of the texts in its slots only 64-bit hashes travel.
@@ -58,6 +59,10 @@ GROUP = 64
 #: A slot is template if so many different pages fill it per distinct text, or more. Fixed value.
 TEMPLATE = 5
 ARTICLE_TAGS = frozenset("article main".split())
+#: Containers nested deeper belong to the one at this depth, as browsers limit the depth of a page, too; their text stays.
+MOST_DEPTH = 256
+#: Tokens of a sequence that are aligned at once, where two sequences are longer than their product allows.
+ALIGNED, ALIGNED_PAIRS = 1_000, 4_000_000
 #: Ends the name of a container that is marked as aside and yet holds the page's text.
 HOLDS = "."
 _WORD = re.compile(r"[a-z]+")
@@ -70,6 +75,13 @@ class _Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.found: list[tuple[str, str, list]] = []
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Marked sections of any name are comments, up to the next ``>``."""
+        return self.parse_bogus_comment(i)
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.found.append(("start", tag, attrs))
 
@@ -187,6 +199,9 @@ class _Page:
             marks = sorted({"-".join(_WORD.findall(w)) for w in named} - {""})
             node: list = [".".join([tag, *marks]), []]
             _, around, at = self.stack[-1]
+            if len(self.stack) > MOST_DEPTH:
+                self.stack.append((tag, around, at))
+                return
             around[1].append(node)
             self.nodes.append([node, at, 0])
             self.stack.append((tag, node, len(self.nodes) - 1))
@@ -247,9 +262,28 @@ def merged(a: list, b: list) -> list:
 
 
 def aligned(a: list, b: list) -> list:
-    """Align two sequences by their longest common run of names; mismatches become optional."""
+    """Align two sequences by their longest common run of names; mismatches become optional.
+
+    Equal beginnings and ends need no search. Sequences that are long even so are aligned part by part, which still gives an expression for
+    both, if not the shortest one.
+    """
     if a == b:
         return a
+    head, tail = 0, 0
+    while head < min(len(a), len(b)) and a[head][0] == b[head][0]:
+        head += 1
+    while tail < min(len(a), len(b)) - head and a[-1 - tail][0] == b[-1 - tail][0]:
+        tail += 1
+    out = [merged(x, y) for x, y in zip(a[:head], b[:head], strict=True)]
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    step = ALIGNED if len(x) * len(y) > ALIGNED_PAIRS else max(len(x), len(y), 1)
+    for at in range(0, max(len(x), len(y)), step):
+        out += _common(x[at : at + step], y[at : at + step])
+    out += [merged(u, v) for u, v in zip(a[len(a) - tail :], b[len(b) - tail :], strict=True)]
+    return _fold(out)
+
+
+def _common(a: list, b: list) -> list:
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -265,7 +299,7 @@ def aligned(a: list, b: list) -> list:
         else:
             out.append([b[j][0], _occurs(b[j][1], "?"), b[j][2]])
             j += 1
-    return _fold(out)
+    return out
 
 
 def expression(wrapper: list) -> str:
@@ -355,7 +389,8 @@ def _is_open(path: tuple[str, ...]) -> bool:
 def main_slots(wrapper: list, template: Iterable[str] = ()) -> list[set[str]]:
     """The slots that may hold the main text, best kind first: in an article, in a main container, in one named like it, any other.
 
-    Each kind comes without its ``template`` slots first; the kinds with them follow, for pages that fill no others.
+    What is in an article or main container stays. The other kinds come without their ``template`` slots first; with them they
+    follow, for pages that fill no others.
     """
     open_ = [p for p in dict.fromkeys(slots(wrapper)) if _is_open(p)]
     tests = (
@@ -364,7 +399,7 @@ def main_slots(wrapper: list, template: Iterable[str] = ()) -> list[set[str]]:
         lambda n: bool(MAIN_WORDS & _words(n)),
     )
     kinds = [{"/".join(p) for p in open_ if any(holds(n) for n in p)} for holds in tests] + [{"/".join(p) for p in open_}]
-    return [kind.difference(template) for kind in kinds] + kinds
+    return kinds[:2] + [kind.difference(template) for kind in kinds[2:]] + kinds[2:]
 
 
 def main_text(page: _Page, kinds: list[set[str]]) -> str:
