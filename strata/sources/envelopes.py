@@ -27,6 +27,8 @@ def result_elements(
     digits. An element that is no object has a reason in ``_reject`` and its JSON text in ``_element``; so has a document that
     cannot be parsed, with the whole text and no ``item``. The outer form of the explode keeps the optimizer from testing
     the array's size, and so parsing the document once more, below it.
+
+    One cast per element gives all members together, and is null for what is no object.
     """
     source_names = source_names or {}
     names = list(names)
@@ -38,19 +40,21 @@ def result_elements(
         F.try_variant_get("_document", "$.payload.results", "array<variant>").alias("_results"),
     )
     exploded = results.select(*keep, "_lost", F.posexplode_outer("_results").alias("item", "_value"))
-    texts = [
-        F.try_variant_get("_value", "$['" + member.replace("\\", "\\\\").replace("'", "\\'") + "']", "string").alias(name)
-        for name, member in members.items()
-    ]
-    shape = F.schema_of_variant("_value")
-    odd = F.col("item").isNotNull() & ~F.coalesce(F.startswith(shape, F.lit("OBJECT")), F.lit(False))
+    wanted = sorted(set(members.values()))
+    shape = "struct<" + ", ".join(f"{_quoted(member)}: string" for member in wanted) + ">" if wanted else "map<string, variant>"
+    cast = exploded.withColumn("_record", F.try_variant_get("_value", "$", shape))
+    odd = F.col("item").isNotNull() & F.col("_record").isNull()
     reason = F.when(F.col("_lost").isNotNull(), NOT_PARSED).when(odd, NOT_OBJECT)
     text = F.when(F.col("_lost").isNotNull(), F.col("_lost")).when(odd, F.coalesce(F.to_json("_value"), F.lit("null")))
-    return exploded.filter("item is not null or _lost is not null").select(
-        *keep, "item", *texts, reason.alias(REJECT), text.alias(ELEMENT)
+    return cast.filter("item is not null or _lost is not null").select(
+        *keep, "item", *[F.col("_record").getField(member).alias(name) for name, member in members.items()], reason.alias(REJECT), text.alias(ELEMENT)
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def result_records(
     raw: DataFrame,
     names: Iterable[str],

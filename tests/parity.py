@@ -52,7 +52,7 @@ if __name__ == "__main__":
     from session import session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    chosen = sys.argv[2:] or list(entry.queries())
+    chosen = sys.argv[2:] or list(entry.oracle_sql())
     spark, connection = session(), duck(folder)
     for name in chosen:
         begun = time.time()
