@@ -47,6 +47,12 @@ _FILES = f"""files AS (
       || CASE event_id % 16 WHEN 14 THEN '.JSON' WHEN 15 THEN '.txt' ELSE '.json' END AS path,
     event_id % 16 <> 15 AS is_json, {_CODES} AS violations
   FROM events)"""
+_HIDDEN_FILES = f"""{_FILES}, named AS (
+  SELECT 'kind=' || CAST(regexp_extract(path, 'event=0*(\\d+)', 1) AS BIGINT) % 5 || '/'
+      || CASE CAST(regexp_extract(path, 'event=0*(\\d+)', 1) AS BIGINT) % 16 WHEN 3 THEN '_' WHEN 14 THEN '.' ELSE '' END
+      || regexp_extract(path, '[^/]+$') AS path, is_json, violations
+  FROM files),
+lost AS (SELECT min(path) AS gone FROM named WHERE lower(path) LIKE '%.json' AND NOT contains(path, '/_'))"""
 _VIOLATIONS = f"""{_FILES}, found AS (
   SELECT path, place - 1 AS place, string_split(violations, ',')[place] AS code
   FROM files, unnest(range(1, len(string_split(violations, ',')) + 1)) AS r(place) WHERE violations <> ''),
@@ -56,6 +62,7 @@ listed AS (
     WHEN 'ROOT_NOT_OBJECT' THEN 'JSON no contiene objeto raiz' WHEN 'MISSING_PART' THEN 'Faltan metadata o payload'
     WHEN 'DATE_NULL' THEN 'metadata.execution_date es nulo' WHEN 'PAYLOAD_EMPTY' THEN 'payload vacio' END AS message
   FROM found ORDER BY path, place LIMIT 50)"""
+_ALL_VIOLATIONS = _VIOLATIONS.replace(" ORDER BY path, place LIMIT 50", "")
 
 _RECORDS = f"""records AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS numero_prestamo, o_orderpriority AS tipo_prestamo,
@@ -126,6 +133,12 @@ ORACLE = {
 SELECT CAST(page AS BIGINT) AS page, records FROM p WHERE page < ({_FIRST_GAP})""",
     "q01b_page_ceiling": f"""WITH {_ORDER_PAGES}
 SELECT CAST(page AS BIGINT) AS page, records FROM p WHERE page < ({_FIRST_GAP}) AND page < 20 AND page <= 166""",
+    "q01e_low_ceiling": f"""WITH {_ORDER_PAGES}
+SELECT CAST(page AS BIGINT) AS page, records FROM p WHERE page < ({_FIRST_GAP}) AND page <= 2""",
+    "q04d_append_by_page": f"WITH {_RAW} SELECT execution_date, page, page % 2 <> 0 AS written FROM batch",
+    "q28b_dates_of_a_table": f"""SELECT o_orderkey, o_orderstatus, '{DATE}' AS execution_date FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_orderkey, o_orderstatus, '{NEXT_DATE}' FROM orders WHERE o_orderstatus = 'F'""",
+    "q30_failed_reload": f"SELECT o_orderkey, o_orderstatus, '{DATE}' AS execution_date FROM orders WHERE o_orderstatus <> 'P'",
     "q01c_result_counts": """SELECT event_id,
   CAST(CASE event_id % 6 WHEN 0 THEN 2 WHEN 4 THEN 1 WHEN 5 THEN NULL ELSE 0 END AS BIGINT) AS records FROM events""",
     "q01d_missing_pages": """WITH landed AS (SELECT DISTINCT l_orderkey AS page FROM lineitem WHERE l_orderkey >= 1
@@ -144,6 +157,9 @@ SELECT page_id AS page, request_hash,
 UNION ALL SELECT execution_date, request_hash, page + 1000000, path, 'earlier' FROM batch WHERE page % 2 <> 0""",
     "q04c_records_written": """SELECT count(*) AS pages_written, count(*) AS records_written
 FROM pages WHERE page_id % 2 <> 0""",
+    "q05b_files_in_tasks": f"""WITH {_HIDDEN_FILES}
+SELECT path, is_json, CASE WHEN path = gone THEN 'UNREADABLE' ELSE violations END AS violations, path = gone AS has_reason FROM named, lost""",
+    "q07c_all_violations": f"WITH {_ALL_VIOLATIONS} SELECT path, place, code, message FROM listed",
     "q05_file_checks": f"WITH {_FILES} SELECT path, is_json, violations FROM files",
     "q06_validation_report": f"""WITH {_FILES}
 SELECT '{DATE}' AS execution_date, '{RAW_BASE}/execution_date={DATE}' AS raw_path,

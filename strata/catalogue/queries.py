@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,10 @@ from strata.functions.hashing import pipe_request_hash, request_hash
 from strata.functions.moments import from_epoch_ms, iso_utc, to_date_strict
 from strata.functions.text import account_name, safe_run_id
 from strata.operators import constraints, facts, keys, lifecycle, metrics, raw, records, runlog, standard, upsert, validation
-from strata.session import materialise
-from strata.sources import envelopes, layers, pages, run_results
+from strata.plans import dates
+from strata.plans.lake import Lake
+from strata.session import drop_path, materialise, scratch_root
+from strata.sources import envelopes, files, layers, pages, run_results
 
 
 # -- pages ------------------------------------------------------------------------------------
@@ -48,6 +53,11 @@ def q01b_page_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.keep_pages(emptied, max_pages=pages.DEFAULT_MAX_PAGES)
 
 
+def q01e_low_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ceiling below the first gap: pages beyond it are not read."""
+    return pages.keep_pages(_order_pages(spark, sf_dir), max_pages=2)
+
+
 def q01c_result_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_id") % 6
     payload = (
@@ -127,11 +137,50 @@ def q04c_records_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q04d_append_by_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are told apart by date and page alone, as in the layout with one file per page."""
+    batch = _raw_batch(spark, sf_dir)
+    before = _raw_before(batch).withColumn("request_hash", F.lit("another request"))
+    return raw.append_outcome(batch, before, raw.PAGE_KEY).select("execution_date", "page", "written")
+
+
 # -- validation -------------------------------------------------------------------------------
 
 
 def q05_file_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(validation.file_checks(event_files(spark, sf_dir)))
+    return portable(validation.file_checks(event_files(spark, sf_dir)).drop("reason"))
+
+
+#: What stands before the names of some files, by kind. Fixed values.
+HIDDEN = {3: "_", 14: "."}
+
+
+def _written_events(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The files of events written by tasks into folders by day, some under hidden names; their folder and the listing."""
+    root = f"{scratch_root(spark).rstrip('/')}/strata/event-files-{uuid.uuid4().hex}"
+    event = F.regexp_extract("path", r"event=0*(\d+)", 1).cast("bigint")
+    mark = F.create_map(*[F.lit(x) for pair in HIDDEN.items() for x in pair])[(event % 16).cast("int")]
+    name = F.concat(F.lit("kind="), event % 5, F.lit("/"), F.coalesce(mark, F.lit("")), F.regexp_extract("path", "[^/]+$", 0))
+    put = files.written(event_files(spark, sf_dir).select(name.alias("path"), "content"), root)
+    put.agg(F.sum("length")).collect()
+    return root, files.listed(spark, root)
+
+
+def q05b_files_in_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written, listed, read and checked by tasks; one is removed after it was listed, so it cannot be read."""
+    root, listing = _written_events(spark, sf_dir)
+    listing, _ = materialise(listing, "listed")
+    lost = listing.where(F.lower("path").endswith(".json") & ~F.col("path").contains("/_")).agg(F.min("path")).first()[0]
+    drop_path(spark, lost)
+    checks = validation.file_checks(files.read(listing))
+    short = F.expr("substring(path, locate('/kind=', path) + 1)")
+    return portable(checks.select(short.alias("path"), "is_json", "violations", F.col("reason").isNotNull().alias("has_reason")))
+
+
+def q07c_all_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every violation, not only those that a report shows, as a written table gives them back."""
+    listed = validation.violation_list(validation.file_checks(event_files(spark, sf_dir)))
+    return materialise(listed, "violations")[0]
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -671,15 +720,48 @@ def q28_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(layers.of_date(orders, "1997-05-28").select("o_orderkey", "o_orderstatus", "execution_date"))
 
 
+def _dated_orders(spark: SparkSession, sf_dir: str) -> tuple[dates.Dated, DataFrame]:
+    """A new table of orders by execution date, and its rows of the first date."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.lit(DATE).cast("date").alias("execution_date"))
+    lake = Lake(f"{scratch_root(spark).rstrip('/')}/strata/dated-{uuid.uuid4().hex}", "orders")
+    dated = dates.of_layer(lake, "staging", "orders", orders.schema)
+    dates.create(spark, dated)
+    return dated, orders
+
+
+def q28b_dates_of_a_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One date of a table that has three, one of which was replaced and one taken away."""
+    dated, orders = _dated_orders(spark, sf_dir)
+    dates.replace(orders, dated, DATE)
+    dates.replace(orders.where("o_orderstatus = 'F'"), dated, NEXT_DATE)
+    dates.replace(orders.where("o_orderstatus = 'O'"), dated, DATE)
+    dates.replace(orders, dated, "2024-01-03")
+    dates.remove(spark, dated, "2024-01-03")
+    both = dates.read(spark, dated, DATE).unionByName(dates.read(spark, dated, NEXT_DATE))
+    return portable(both.unionByName(dates.read(spark, dated, "2024-01-03")))
+
+
+def q30_failed_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date whose reload fails after some tasks have written: readers see the old rows, all of them."""
+    dated, orders = _dated_orders(spark, sf_dir)
+    dates.replace(orders.where("o_orderstatus <> 'P'"), dated, DATE)
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    stops = F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("stopped"))).otherwise(F.lit("new"))
+    try:
+        dates.replace(orders.repartition(4, "o_orderkey").withColumn("o_orderstatus", stops), dated, DATE)
+    except PySparkException as error:
+        if "stopped" not in str(error):
+            raise
+    return portable(dates.read(spark, dated, DATE))
+
+
 # -- the whole path ---------------------------------------------------------------------------
 
 
 def q29_raw_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON documents to fact rows: checked, flattened, typed, split, keyed and looked up."""
     flat = debt_records(spark, sf_dir).select(
-        *[F.col(name).cast("string").alias(name) for name in _BUSINESS["prestamo"]],
-        *[F.col(name).cast("string").alias(name) for name in _BUSINESS["deuda_corte"] if name not in _BUSINESS["prestamo"]],
-    )
+        *_BUSINESS["prestamo"], *[name for name in _BUSINESS["deuda_corte"] if name not in _BUSINESS["prestamo"]])
     content = raw.envelope(
         F.struct(F.lit(DATE).alias("execution_date")), F.to_json(F.struct(F.array(F.struct("*")).alias("results")))
     )
@@ -691,8 +773,8 @@ def q29_raw_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged, _ = materialise(_technical(typed_rows), "records")
 
     def curated(name: str, order: str) -> DataFrame:
-        tidy = standard.standardise(staged, STAGING[name])
-        return records.entity(tidy, STAGING[name], (order,)).rows
+        needed = staged.select(*dict.fromkeys([*STAGING[name].names, order]))
+        return records.entity(standard.standardise(needed, STAGING[name]), STAGING[name], (order,)).rows
 
     loans, _ = materialise(curated("prestamo", "fecha_corte").select("numero_prestamo"), "loans")
     debts, _ = materialise(records.fill_month_year(curated("deuda_corte", "monto_tramo").drop("ingestion_timestamp")), "debts")

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import materialise
+
 BUCKETS = 4096
 
+#: A file's place among the files of a write, by the numbers in its name.
+_PART, _PIECE = r"part-(\d+)-", r"-c(\d+)\."
+
 
 def key_bucket(keys: Iterable[str], buckets: int = BUCKETS) -> Column:
     """A bucket number that depends on the natural key alone.
@@ -20,40 +27,47 @@ def key_bucket(keys: Iterable[str], buckets: int = BUCKETS) -> Column:
     return F.coalesce(number, F.lit(0))
 
 
-def assign_keys(
-    rows: DataFrame, keys: Iterable[str], name: str, start: Column | int = 0, buckets: int = BUCKETS
-) -> DataFrame:
-    """Number rows of distinct natural keys ``start + 1, start + 2, ..`` in ``(bucket, key)`` order.
+#: The number before the first key: known, or asked for once it is known how many keys are needed.
+Start = Column | int | Callable[[int], int]
+
 
-    Each bucket is numbered on its own and shifted by the rows in the buckets before it. Natural
-    keys are distinct, so hashing spreads them evenly, and no task sees all rows. Numbers are a
-    function of the data alone: a task that runs again gives the same ones.
+def numbered(copy: DataFrame, name: str, start: Start = 0) -> DataFrame:
+    """The rows of a stored Parquet copy with their place in it, ``start + 1, start + 2, ..``, as the first column ``name``.
 
-    ``rows`` is evaluated twice, once for its keys alone. Give a stored table where it is costly.
+    A row's place is that of its file, which is the number of rows in the files before it, and its own within the file,
+    which the scan knows. So nothing is sorted, gathered or moved, however many files there are, and the same copy
+    gives the same numbers to any reader. The driver sees one count per file.
     """
-    keys = list(keys)
-    if not 0 < buckets <= 65536:
-        raise ValueError("buckets must lie between 1 and 65536")
+    file = F.col("_metadata.file_name")
+    counts = copy.groupBy(
+        F.regexp_extract(file, _PART, 1).cast("int").alias("part"), F.regexp_extract(file, _PIECE, 1).cast("int").alias("piece"), file.alias("file"),
+    ).agg(F.count(F.lit(1)).alias("rows")).toArrow().sort_by([("part", "ascending"), ("piece", "ascending")])
+    rows = counts.column("rows").to_pylist()
     if not isinstance(start, Column):
-        start = F.lit(start)
-    bucketed = rows.withColumn("_bucket", key_bucket(keys, buckets))
-    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
-    shifts = _rows_before(rows.select(key_bucket(keys, buckets).alias("_bucket")))
-    return (
-        bucketed.withColumn("_place", place)
-        .join(F.broadcast(shifts), "_bucket")
-        .select((start + F.col("_shift") + F.col("_place")).cast("bigint").alias(name), *rows.columns)
-    )
+        start = F.lit(start(sum(rows)) if callable(start) else start)
+    before = pa.table({
+        "_file": counts.column("file").cast(pa.string()), "_before": pa.array([0, *accumulate(rows[:-1])][: len(rows)], pa.int64())})
+    shifts = copy.sparkSession.createDataFrame(before, "_file string, _before bigint")
+    placed = copy.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return placed.join(shifts, "_file").select(
+        (start + F.col("_before") + F.col("_row") + 1).cast("bigint").alias(name), *[f"`{c}`" for c in copy.columns])
 
 
-def _rows_before(buckets: DataFrame) -> DataFrame:
-    """Per bucket the rows in the buckets before it.
+def assign_keys(
+    rows: DataFrame, keys: Iterable[str], name: str, start: Start = 0, buckets: int = BUCKETS
+) -> DataFrame:
+    """Number rows of distinct natural keys ``start + 1, start + 2, ..`` in ``(bucket, key)`` order.
 
-    One row per bucket at most: that bounds the window over all of them and the broadcast.
+    Rows are sorted by ranges, in as many tasks as the session's shuffles have, and written once; their places in that
+    copy are the numbers (:func:`numbered`). Hashed buckets come first, so ranges are even whatever the keys look like. Numbers
+    are a function of the data alone: a task or a load that runs again gives the same ones.
     """
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = buckets.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    keys = list(keys)
+    if not 0 < buckets <= 65536:
+        raise ValueError("buckets must lie between 1 and 65536")
+    ordered = rows.withColumn("_bucket", key_bucket(keys, buckets)).orderBy("_bucket", *keys).drop("_bucket")
+    copy, _ = materialise(ordered, "numbered")
+    return numbered(copy, name, start)
 
 
 def highest_key(table: DataFrame, name: str) -> Column:

@@ -9,6 +9,8 @@ from strata.functions.moments import iso_utc
 from strata.functions.text import padded_page
 
 RAW_KEY = ("execution_date", "request_hash", "page")
+#: The key of the layout with one file per page of a date.
+PAGE_KEY = ("execution_date", "page")
 
 
 def metadata(execution_date: Column, source: Column, ingested: Column, request_hash: Column) -> Column:

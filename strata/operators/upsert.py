@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.contracts import TableContract
-from strata.operators.keys import BUCKETS, assign_keys, highest_key
+from strata.operators.keys import BUCKETS, Start, assign_keys, highest_key
 
 ACTION = "load_action"
 INSERTED, UPDATED, UNCHANGED, STALE, KEPT = "inserted", "updated", "unchanged", "stale", "kept"
@@ -27,7 +27,7 @@ def merge_dimension(
     execution_date: Column,
     batch_ts: Column,
     count: str = "matched",
-    start: Column | int | None = None,
+    start: Start | None = None,
     collation: str | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:

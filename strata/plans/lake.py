@@ -38,6 +38,10 @@ class Lake:
     def logs(self) -> str:
         return f"{self.root}/logs"
 
+    @property
+    def claims(self) -> str:
+        return f"{self.root}/claims/{self.dataset}"
+
     def table(self, contract: TableContract) -> str:
         return f"{self.root}/tables/{contract.database}/{contract.name}"
 

@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.contracts import PIPELINE_RUNS, RUN_LOG
-from strata.functions.moments import iso_utc
 from strata.functions.text import safe_run_id
-from strata.operators import lifecycle, runlog
-from strata.plans import stages
+from strata.operators import lifecycle, metrics, runlog
+from strata.operators.validation import MESSAGE_ERRORS
+from strata.plans import stages, store
 from strata.plans.lake import Lake
 from strata.plans.stages import StageFailed
+from strata.plans.store import claim
 from strata.plans.tables import create_tables
 
 # Where each stage reads and writes, as the run log names it.
@@ -43,41 +44,49 @@ class Run:
         return F.lit(self.batch_ts).cast("timestamp")
 
 
-def _append(rows: DataFrame, table: str) -> None:
-    target = rows.sparkSession.table(table)
-    given = set(rows.columns)
-    rows.select(*[
-        F.col(f.name).cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in target.schema.fields
-    ]).write.insertInto(table)
-
-
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
 def _begin(spark: SparkSession, lake: Lake, run: Run, stage: str, began: dt.datetime) -> DataFrame:
-    last = spark.table(PIPELINE_RUNS.full_name).agg(F.max("audit_id")).first()[0] or 0
+    def highest() -> int:
+        return spark.table(PIPELINE_RUNS.full_name).agg(F.max("audit_id")).first()[0] or 0
+
+    # Loads that begin at the same time each get an id of their own.
+    number = claim(spark, f"{lake.claims}/{PIPELINE_RUNS.name}", 1, highest)
     begun = spark.createDataFrame(
-        [(last + 1, run.dag_id, stage, lake.dataset, run.execution_date, began)],
+        [(number, run.dag_id, stage, lake.dataset, run.execution_date, began)],
         "audit_id bigint, pipeline_name string, stage string, dataset_name string, execution_date string, started_at_utc timestamp",
     ).withColumn("execution_date", F.col("execution_date").try_cast("date"))
     opened = lifecycle.started(begun)
-    _append(opened, PIPELINE_RUNS.full_name)
+    store.append(opened, PIPELINE_RUNS.full_name)
     return opened
 
 
-def write_document(report: DataFrame, lake: Lake, run: Run, layer: str | None) -> str:
-    """The report as one JSON document, in place of one from an earlier try; its path."""
-    document = runlog.log_document(
-        report,
-        written_at=iso_utc(F.lit(_now())),
-        run_id=safe_run_id(F.lit(run.run_id), run.moment),
-        base=lake.logs,
-        layer=layer,
-    )
-    path = document.select("log_path").first()[0]
-    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def document_path(spark: SparkSession, lake: Lake, run: Run, stage: str) -> str:
+    """Where the audit document of a stage's run lies; the same for a later try. The report on raw files has no layer."""
+    one = spark.createDataFrame([(run.execution_date, lake.dataset)], "execution_date string, dataset_name string")
+    layer = None if stage == "raw_validation" else stage
+    run_id = safe_run_id(F.lit(run.run_id), run.moment)
+    return runlog.log_document(one, written_at=run.moment, run_id=run_id, base=lake.logs, layer=layer).first()["log_path"]
+
+
+def document(report: dict, lake: Lake, run: Run, stage: str, path: str) -> dict:
+    """The audit document: the report's own fields, and what identifies the run. Times are ISO texts in UTC."""
+    found = dict(report)
+    if stage in metrics.EVENT_TYPES:
+        found |= {
+            "event_type": metrics.EVENT_TYPES[stage], "layer": stage, "airflow_run_id": run.run_id,
+            "message": report.get("error_message") or metrics.DONE_MESSAGE, "audited_at_utc": report.get("ended_at_utc")}
+    found |= {"dag_id": run.dag_id, "task_id": stage, "run_id": run.run_id, "log_path": path, "log_written_at_utc": _now()}
+    return {name: value.isoformat() if isinstance(value, dt.datetime) else value for name, value in found.items()}
+
+
+def write_document(spark: SparkSession, lake: Lake, run: Run, stage: str, report: dict) -> str:
+    """The audit document as one file, in place of one from an earlier try; its path."""
+    path = document_path(spark, lake, run, stage)
+    text = json.dumps(document(report, lake, run, stage, path), ensure_ascii=False, default=str)
+    store.put(spark, path, text.encode())
     return path
 
 
@@ -93,7 +102,7 @@ def write_run_log(spark: SparkSession, lake: Lake, run: Run, stage: str, report:
         )],
         RUN_LOG_INPUT,
     )
-    _append(runlog.run_log_rows(row, spark.table(RUN_LOG.full_name).columns), RUN_LOG.full_name)
+    store.append(runlog.run_log_rows(row, spark.table(RUN_LOG.full_name).columns), RUN_LOG.full_name)
 
 
 RUN_LOG_INPUT = ", ".join(
@@ -114,20 +123,9 @@ def short(text: str | None, width: int) -> str | None:
 
 
 def _count_against(report: dict, text: str) -> None:
-    """Note an error that makes a report's stage fail."""
+    """Note an error that makes a report's stage fail. ``errors`` holds all of them, the message the first."""
     report["errors"] = [*report.get("errors", []), text]
-    report.update(status=lifecycle.FAILED, error_message="; ".join(report["errors"]))
-
-
-def _write_report(spark: SparkSession, lake: Lake, run: Run, stage: str, report: dict) -> str:
-    """Write the report of a stage as a JSON document; returns where."""
-    row = {k: v for k, v in report.items() if k not in ("execution_date", "dataset_name")}
-    text = json.dumps(row, default=str, ensure_ascii=False)
-    document = spark.createDataFrame(
-        [(run.execution_date, lake.dataset, stage, run.dag_id, run.run_id, text)],
-        "execution_date string, dataset_name string, task_id string, dag_id string, run_id string, report string",
-    )
-    return write_document(document, lake, run, stage if stage in ("curated", "warehouse") else None)
+    report.update(status=lifecycle.FAILED, error_message="; ".join(report["errors"][:MESSAGE_ERRORS]))
 
 
 def run_stage(
@@ -152,7 +150,7 @@ def run_stage(
     report.update(started_at_utc=began, ended_at_utc=_now())
 
     def log() -> None:
-        report["log_path"] = _write_report(spark, lake, run, stage, report)
+        report["log_path"] = write_document(spark, lake, run, stage, report)
 
     # What went wrong in the audit itself, in the order in which it is raised.
     problems: list[StageFailed] = []
@@ -166,7 +164,7 @@ def run_stage(
             if text == LOG_FAILED:
                 _count_against(report, str(problem))
     message = report.get("error_message") or "".join(str(p.__cause__) for p in problems)
-    _append(
+    store.append(
         lifecycle.closed(
             opened,
             status=F.lit(lifecycle.FAILED if problems else report["status"]),

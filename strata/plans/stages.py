@@ -14,10 +14,11 @@ from strata.functions.hashing import request_hash
 from strata.operators import facts as fact_ops
 from strata.operators import raw, records, standard, upsert, validation
 from strata.operators.constraints import REASONS
+from strata.plans import dates
 from strata.plans.lake import PARTITION, RAW_SCHEMA, Lake, partition, replace_partition, written_rows
-from strata.plans.tables import create_tables, highest_key, note_highest_key, publish
+from strata.plans.tables import create_tables, key_range, publish
 from strata.session import drop_path, materialise
-from strata.sources import envelopes, layers, manifest, pages
+from strata.sources import envelopes, manifest, pages
 
 #: Gaps that the run log shows.
 SHOWN_GAPS = 50
@@ -36,6 +37,19 @@ def business_columns(contract: TableContract) -> list[str]:
     return [name for name in contract.names if name not in STAGING_ONLY]
 
 
+#: Columns by which rows of a table are looked up.
+LOOKUPS = ("numero_prestamo", "fecha_corte")
+
+
+def layer_table(lake: Lake, layer: str, name: str) -> dates.Dated:
+    contract = STAGING[name]
+    return dates.of_layer(lake, layer, name, contract.schema, tuple(c for c in LOOKUPS if c in contract.names))
+
+
+def fact_table(lake: Lake) -> dates.Dated:
+    return dates.Dated(FACT.full_name, lake.table(FACT), FACT.schema, LOOKUPS)
+
+
 def ingest(
     spark: SparkSession,
     lake: Lake,
@@ -46,48 +60,60 @@ def ingest(
     endpoint: str,
     max_pages: int | None = None,
     overwrite: bool = False,
+    key: tuple[str, ...] = raw.RAW_KEY,
 ) -> dict[str, object]:
     """Landed pages ``(page, payload)`` to the raw table; a page that is there already stays.
 
-    Page sizes are parsed once into a narrow copy, which gives the cut and the record counts; the
-    documents themselves are then only moved.
+    What is written is decided on a narrow copy: page, number of records and digest of each payload, parsed once. Of
+    payloads landed for the same page the one with the least digest stays. The documents themselves move once at
+    most, and not at all where the list of wanted pages is small enough to be sent to them. ``key`` may be
+    ``raw.PAGE_KEY``: then a page of the date counts as there whatever request it came from.
     """
-    counted, scratch = materialise(pages.with_record_count(landed).select("page", "records"), "page-counts")
-    kept = pages.keep_pages(landed, max_pages=max_pages, counted=counted)
-    expected = pages.keep_pages(counted, max_pages=max_pages).count()
-    date = F.lit(execution_date)
-    digest = request_hash(F.lit(endpoint), date, F.col("page"), {"page": F.col("page")})
-    fields = raw.metadata(date, F.lit(lake.dataset), batch_ts, F.col("request_hash"))
-    batch = (
-        kept.join(counted.groupBy("page").agg(F.max("records").alias("records")), "page")
-        .withColumn("request_hash", digest)
-        .select(
-            date.cast("date").alias("execution_date"),
-            "request_hash",
-            F.col("page").cast("bigint").alias("page"),
+    digest = F.sha2("payload", 256)
+    narrow = pages.with_record_count(landed.select("page", "payload")).select("page", "records", digest.alias("digest"))
+    counted, scratch = materialise(narrow, "page-counts")
+    state_path = None
+    try:
+        date = F.lit(execution_date)
+        kept = pages.keep_pages(counted, max_pages=max_pages)
+        expected = kept.count()
+        request = request_hash(F.lit(endpoint), date, F.col("page"), {"page": F.col("page")})
+        copies = kept.groupBy("page", "digest").agg(F.max("records").alias("records"), F.count(F.lit(1)).alias("copies"))
+        chosen = copies.groupBy("page").agg(F.min(F.struct("digest", "records", "copies")).alias("c")).select("page", "c.*")
+        wanted = chosen.withColumns({"execution_date": date.cast("date"), "request_hash": request, "page": F.col("page").cast("bigint")})
+        present = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
+        target = f"{lake.raw_table}/execution_date={execution_date}"
+        before = present.agg(F.count(F.lit(1)).alias("pages"), F.sum("records").alias("records")).first()
+        if not overwrite:
+            wanted = wanted.join(present.select(*key), list(key), "left_anti")
+        documents = landed.select(F.col("page").cast("bigint").alias("page"), "payload", digest.alias("digest")).join(wanted, ["page", "digest"])
+        if not copies.where("copies > 1").isEmpty():
+            again = documents.where("copies > 1").dropDuplicates(["page"])
+            documents = documents.where("copies = 1").unionByName(again)
+        fields = raw.metadata(date, F.lit(lake.dataset), batch_ts, F.col("request_hash"))
+        batch = documents.select(
+            "execution_date", "request_hash", "page",
             raw.page_path(lake.raw_files, date, F.col("request_hash"), F.col("page")).alias("path"),
-            "records",
-            raw.envelope(fields, F.col("payload")).alias("content"),
+            "records", raw.envelope(fields, F.col("payload")).alias("content"),
         )
-    )
-    present = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
-    target = f"{lake.raw_table}/execution_date={execution_date}"
-    before = present.agg(F.count(F.lit(1)).alias("pages"), F.sum("records").alias("records")).first()
-    if overwrite:
-        state, state_path = materialise(raw.overwritten(batch, present).drop("execution_date"), "raw")
-        state.write.mode("overwrite").parquet(target)
-        drop_path(spark, state_path)
-    else:
-        raw.new_rows(batch, present).drop("execution_date").write.mode("append").parquet(target)
-    after = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
-    total = after.agg(F.count(F.lit(1)).alias("pages"), F.sum("records").alias("records")).first()
-    below = counted if max_pages is None else counted.filter(F.col("page") <= max_pages)
-    # Every gap is written; the run log shows the first ones and says when there are more.
-    replace_partition(pages.missing_pages(below), lake.quarantine("raw_gaps"), execution_date)
+        if overwrite:
+            stays = present.join(wanted.select(*key), list(key), "left_anti")
+            state, state_path = materialise(stays.unionByName(batch).drop("execution_date"), "raw")
+            state.write.mode("overwrite").parquet(target)
+        else:
+            batch.drop("execution_date").write.mode("append").parquet(target)
+        after = partition(spark, lake.raw_table, RAW_SCHEMA, execution_date)
+        total = after.agg(F.count(F.lit(1)).alias("pages"), F.sum("records").alias("records")).first()
+        below = counted if max_pages is None else counted.filter(F.col("page") <= max_pages)
+        # Every gap is written; the run log shows the first ones and says when there are more.
+        replace_partition(pages.missing_pages(below), lake.quarantine("raw_gaps"), execution_date)
+    finally:
+        drop_path(spark, scratch)
+        if state_path:
+            drop_path(spark, state_path)
     gaps = partition_of_gaps(spark, lake, execution_date).orderBy("first_missing").limit(SHOWN_GAPS + 1).collect()
     ranges = [f"{g[0]}-{g[1]}" if g[0] != g[1] else str(g[0]) for g in gaps]
     shown = ",".join(ranges[:SHOWN_GAPS]) + (",..." if len(ranges) > SHOWN_GAPS else "")
-    drop_path(spark, scratch)
     return {
         "pages_expected": expected,
         "pages_loaded": total["pages"] - before["pages"],
@@ -108,20 +134,26 @@ def validate(
     execution_date: str | None,
     from_files: bool = False,
 ) -> DataFrame:
-    """The report of one raw partition, one row. Reads the raw table, or JSON files when asked to."""
+    """The report of one raw partition, one row. Reads the raw table, or JSON files when asked to.
+
+    The report shows the first violations; all of them are written as the date's rows of the quarantine layer
+    ``raw_validation``.
+    """
     listing = spark.createDataFrame([], manifest.SCHEMA)
     listing_error = None
     if execution_date and execution_date.strip():
         if from_files:
             try:
                 listing = manifest.file_manifest(spark, manifest.partition_path(lake.raw_files, execution_date))
-            except manifest.PathMissing as error:
+            except (manifest.PathMissing, OSError) as error:
                 listing_error = str(error)
         else:
             listing = manifest.table_manifest(partition(spark, lake.raw_table, RAW_SCHEMA, execution_date))
     # Narrow: a path and a short list per file. Both the counts and the error list read it.
     checks = validation.file_checks(listing).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if execution_date and execution_date.strip():
+            replace_partition(validation.violation_list(checks), lake.quarantine("raw_validation"), execution_date)
         row = validation.report(
             checks,
             execution_date=execution_date,
@@ -157,21 +189,22 @@ def staging(
     copy, scratch = materialise(
         records.with_technical_columns(typed, F.lit(execution_date), batch_ts), "records"
     )
-    reject = F.col(envelopes.REJECT)
-    flat = copy.filter(reject.isNull()).drop(envelopes.REJECT, envelopes.ELEMENT)
-    refused = copy.filter(reject.isNotNull()).select(envelopes.ELEMENT, F.array(reject).alias(REASONS))
-    _write_rejects(lake, "staging_records", {"element": refused}, execution_date)
-    read = copy.filter(reject.isNull() | (reject == envelopes.NOT_OBJECT)).count()
-    declared = raw_rows.agg(F.sum("records")).first()[0]
-    if declared is not None and declared != read:
+    try:
+        reject = F.col(envelopes.REJECT)
+        flat = copy.filter(reject.isNull()).drop(envelopes.REJECT, envelopes.ELEMENT)
+        refused = copy.filter(reject.isNotNull()).select(envelopes.ELEMENT, F.array(reject).alias(REASONS))
+        _write_rejects(lake, "staging_records", {"element": refused}, execution_date)
+        read = copy.filter(reject.isNull() | (reject == envelopes.NOT_OBJECT)).count()
+        declared = raw_rows.agg(F.sum("records")).first()[0]
+        if declared is not None and declared != read:
+            raise ValueError(f"raw counts {declared} records of {execution_date}, staging read {read}")
+        lost = flat.filter(F.size(records.ISSUES) > 0).select(*names, F.col(records.ISSUES).alias(REASONS))
+        splits = records.split_entities(flat, STAGING, ("fecha_corte",))
+        counts = {"rows_read": flat.count(), **_write_entities(spark, lake, "staging", splits, execution_date)}
+        _write_rejects(lake, "staging_values", {"record": lost}, execution_date)
+        counts["rows_with_lost_values"] = written_rows(spark, [lake.quarantine("staging_values")], execution_date)
+    finally:
         drop_path(spark, scratch)
-        raise ValueError(f"raw counts {declared} records of {execution_date}, staging read {read}")
-    lost = flat.filter(F.size(records.ISSUES) > 0).select(*names, F.col(records.ISSUES).alias(REASONS))
-    splits = records.split_entities(flat, STAGING, ("fecha_corte",))
-    counts = {"rows_read": flat.count(), **_write_entities(spark, lake, "staging", splits, execution_date)}
-    _write_rejects(lake, "staging_values", {"record": lost}, execution_date)
-    counts["rows_with_lost_values"] = written_rows(spark, [lake.quarantine("staging_values")], execution_date)
-    drop_path(spark, scratch)
     return counts
 
 
@@ -191,29 +224,37 @@ def _write_rejects(lake: Lake, layer: str, rejects: dict[str, DataFrame], execut
 def _write_entities(
     spark: SparkSession, lake: Lake, layer: str, splits: dict[str, records.Entity], execution_date: str
 ) -> dict[str, int]:
+    written = 0
     for name, split in splits.items():
-        replace_partition(split.rows, lake.layer(layer, name), execution_date, STAGING[name].order)
+        table = layer_table(lake, layer, name)
+        dates.create(spark, table)
+        written += dates.replace(split.rows, table, execution_date, STAGING[name].order)
     _write_rejects(lake, layer, {name: split.rejects for name, split in splits.items()}, execution_date)
-    return {
-        "rows_written": written_rows(spark, [lake.layer(layer, name) for name in splits], execution_date),
-        "rows_quarantined": written_rows(spark, [lake.quarantine(layer)], execution_date),
-    }
+    return {"rows_written": written, "rows_quarantined": written_rows(spark, [lake.quarantine(layer)], execution_date)}
+
+
+def layer_rows(spark: SparkSession, lake: Lake, layer: str, name: str, execution_date: str) -> DataFrame:
+    """One date of a layer's entity; none if the layer was never written."""
+    table = layer_table(lake, layer, name)
+    dates.create(spark, table)
+    return dates.read(spark, table, execution_date)
+
+
+def layer_count(spark: SparkSession, lake: Lake, layer: str, execution_date: str) -> int:
+    """Rows of all entities of a layer's date, from the files alone."""
+    return sum(layer_rows(spark, lake, layer, name, execution_date).count() for name in STAGING)
 
 
 def curated(spark: SparkSession, lake: Lake, *, execution_date: str) -> dict[str, int]:
     """Staging partitions standardised, checked and deduplicated once more."""
     splits = {}
     for name, contract in STAGING.items():
-        rows = partition(spark, lake.layer("staging", name), contract.schema, execution_date)
+        rows = layer_rows(spark, lake, "staging", name, execution_date)
         splits[name] = records.entity(standard.standardise(rows, contract), contract)
-    read = written_rows(spark, [lake.layer("staging", name) for name in STAGING], execution_date)
+    read = layer_count(spark, lake, "staging", execution_date)
     return {"rows_read": read, **_write_entities(spark, lake, "curated", splits, execution_date)}
 
 
-def _curated(spark: SparkSession, lake: Lake, name: str, execution_date: str) -> DataFrame:
-    return partition(spark, lake.layer("curated", name), STAGING[name].schema, execution_date)
-
-
 def load_dimension(
     spark: SparkSession, lake: Lake, name: str, *, execution_date: str, batch_ts: Column, count: str = "matched"
 ) -> dict[str, int]:
@@ -221,12 +262,12 @@ def load_dimension(
     contract = DIMENSIONS[name]
     merged = upsert.merge_dimension(
         spark.table(contract.full_name),
-        _curated(spark, lake, name, execution_date),
+        layer_rows(spark, lake, "curated", name, execution_date),
         contract,
         execution_date=F.lit(execution_date),
         batch_ts=batch_ts,
         count=count,
-        start=highest_key(spark, contract),
+        start=key_range(spark, lake, contract),
     )
     return publish(merged, lake, contract)
 
@@ -235,30 +276,27 @@ def load_fact(spark: SparkSession, lake: Lake, *, execution_date: str, batch_ts:
     """The fact's snapshot of the execution date; a rerun replaces it and keeps known keys."""
     loans = spark.table(DIMENSIONS["prestamo"].full_name)
     tranches = spark.table(DIMENSIONS["tramo"].full_name)
-    debts = records.fill_month_year(_curated(spark, lake, "deuda_corte", execution_date)).drop("ingestion_timestamp")
-    _write_rejects(lake, "warehouse", {FACT.name: fact_ops.unresolved(debts, tranches, loans)}, execution_date)
-    missing = written_rows(spark, [lake.quarantine("warehouse")], execution_date)
-    present = layers.of_date(spark.table(FACT.full_name), execution_date)
-    first_load = present.isEmpty()
-    start = highest_key(spark, FACT) or 0
-    # Resolved facts are read more than once, and a rerun replaces the partition whose keys it
-    # takes over: both are written aside first.
-    resolved, scratch = materialise(fact_ops.with_reference_keys(debts, tranches, loans), "resolved")
-    known = known_scratch = None
-    if not first_load:
-        known, known_scratch = materialise(present.select(*FACT.key, FACT.surrogate, "created_at_utc"), "known")
-    snapshot = fact_ops.load_snapshot(resolved, known, batch_ts=batch_ts, start=start)
-    total = resolved.count()
-    updated = 0 if first_load else resolved.join(known, list(FACT.key), "left_semi").count()
-    note_highest_key(spark, FACT, start + total - updated)
-    if total:
-        ordered = snapshot.select(*FACT.names).sortWithinPartitions(*FACT.order)
-        ordered.write.insertInto(FACT.full_name, overwrite=True)
-    elif not first_load:
-        spark.sql(f"ALTER TABLE {FACT.full_name} DROP IF EXISTS PARTITION (execution_date = '{execution_date}')")
-    drop_path(spark, scratch)
-    if known_scratch:
-        drop_path(spark, known_scratch)
+    table = fact_table(lake)
+    debts = records.fill_month_year(layer_rows(spark, lake, "curated", "deuda_corte", execution_date)).drop("ingestion_timestamp")
+    first_load = not dates.has_date(spark, table, execution_date)
+    present = None if first_load else dates.read(spark, table, execution_date)
+    # References, orphans and known rows come from one copy of the facts, written once.
+    matched = fact_ops.with_known(fact_ops.resolved(debts, tranches, loans), present)
+    copy, scratch = materialise(matched, "resolved")
+    try:
+        whole = F.col("prestamo_key").isNotNull() & F.col("tramo_key").isNotNull()
+        orphans = fact_ops.orphan_reasons(copy.where(~whole).drop(fact_ops.KNOWN_KEY, fact_ops.KNOWN_SINCE), loans)
+        _write_rejects(lake, "warehouse", {FACT.name: orphans}, execution_date)
+        missing = written_rows(spark, [lake.quarantine("warehouse")], execution_date)
+        facts = copy.where(whole)
+        total, updated = facts.agg(F.count(F.lit(1)), F.count(fact_ops.KNOWN_KEY)).first()
+        if total:
+            state = fact_ops.snapshot(facts, batch_ts=batch_ts, start=key_range(spark, lake, FACT))
+            dates.replace(state, table, execution_date, FACT.order)
+        elif not first_load:
+            dates.remove(spark, table, execution_date)
+    finally:
+        drop_path(spark, scratch)
     return {upsert.INSERTED: total - updated, upsert.UPDATED: updated, "quarantined": missing}
 
 
@@ -267,7 +305,7 @@ def warehouse(
 ) -> dict[str, int]:
     """Model, five dimensions, fact; counts over all of them."""
     create_tables(spark, lake)
-    read = written_rows(spark, [lake.layer("curated", name) for name in STAGING], execution_date)
+    read = layer_count(spark, lake, "curated", execution_date)
     totals = {"rows_read": read, "rows_inserted": 0, "rows_updated": 0, "rows_quarantined": 0}
     for name in DIMENSIONS:
         counts = load_dimension(

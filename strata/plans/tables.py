@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.contracts import ALL_TABLES, DATABASES, TableContract
 from strata.operators.upsert import ACTION
 from strata.plans.lake import Lake
+from strata.plans.store import claim
 
 HIGHEST_KEY = "strata.highest_key"
 
@@ -36,6 +38,18 @@ def note_highest_key(spark: SparkSession, contract: TableContract, key: int) ->
     spark.sql(f"ALTER TABLE {contract.full_name} SET TBLPROPERTIES ('{HIGHEST_KEY}' = '{key}')")
 
 
+def key_range(spark: SparkSession, lake: Lake, contract: TableContract) -> Callable[[int], int]:
+    """Gives the number before a range of so many keys that no other load gets, and notes the highest on the table."""
+
+    def start(count: int) -> int:
+        first = claim(spark, f"{lake.claims}/{contract.name}", count, lambda: highest_key(spark, contract) or 0)
+        if count:
+            note_highest_key(spark, contract, first + count - 1)
+        return first - 1
+
+    return start
+
+
 def publish(merged: DataFrame, lake: Lake, contract: TableContract) -> dict[str, int]:
     """Write the merged dimension beside the present one and point the table at it.
 
@@ -47,8 +61,5 @@ def publish(merged: DataFrame, lake: Lake, contract: TableContract) -> dict[str,
     merged.write.parquet(location)
     written = spark.read.schema(merged.schema).parquet(location)
     counts = {row[ACTION]: row["count"] for row in written.groupBy(ACTION).count().collect()}
-    before = highest_key(spark, contract) or 0
-    # The note goes first: keys above it are still unused if the load stops here.
-    note_highest_key(spark, contract, before + counts.get("inserted", 0))
     spark.sql(f"ALTER TABLE {contract.full_name} SET LOCATION '{location}'")
     return counts
