@@ -18,9 +18,20 @@ LEAST_QUALITY = 0.5
 KNOWN_WORDS = 100_000
 
 
+#: Rows and bytes that a Python worker is handed at a time: the workers of one stage are still there in the next.
+HANDED = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def prepared(spark: SparkSession) -> None:
+    """Send the package to the executors, and keep what their Python workers hold small."""
+    shipping.ship(spark)
+    for name, value in HANDED.items():
+        spark.conf.set(name, value)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier rejects; it learns from the labelled rows outside the held-out quarter."""
-    shipping.ship(spark)
+    prepared(spark)
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     model = classifier.fit(docs.where(~held_out), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return classifier.accepted(docs, model, LEAST_QUALITY)
@@ -28,19 +39,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that break the base rules or a threshold."""
-    shipping.ship(spark)
+    prepared(spark)
     return quality_rules.kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of linked documents."""
-    shipping.ship(spark)
+    prepared(spark)
     return ngram_join.representatives(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of at most 2048 tokens."""
-    shipping.ship(spark)
+    prepared(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), most_words=KNOWN_WORDS)
 
 
