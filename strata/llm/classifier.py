@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.memory import give_back
 from strata.llm.scratch import stored
 
 #: Classes of bytes that the statistics count. Fixed values.
@@ -108,6 +109,7 @@ def with_statistics(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         for batch in batches:
             found = pa.array([statistics(t.as_py()) for t in batch.column(len(keep))], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [found], [*keep, "statistics"])
+        give_back()
 
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
@@ -196,6 +198,7 @@ def score(model: Model, text: Column) -> Column:
         for part in parts:
             x = np.array([statistics(t) for t in part], dtype=float).reshape(len(part), len(STATISTICS))
             yield pd.Series(model.probability(x))
+        give_back()
 
     return run(text)
 

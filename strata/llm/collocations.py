@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.memory import give_back
 from strata.llm.scratch import stored
 from strata.llm.tokens import slices
 from strata.llm.word_hashes import BASES, mixed, words
@@ -246,6 +247,7 @@ def summaries(docs: DataFrame, lengths: tuple[int, ...], parts: int, pairs: Filt
                 pa.default_memory_pool().release_unused()
         if size:
             yield rows(held)
+        give_back()
 
     return docs.mapInArrow(run, "part int, n int, blob binary")
 
@@ -355,6 +357,7 @@ def exact(docs: DataFrame, longest: int, parts: int, short: Filter, long: Filter
                 pa.default_memory_pool().release_unused()
         if held:
             yield rows(summed_phrases(held))
+        give_back()
 
     return docs.mapInArrow(run, "part int, blob binary")
 

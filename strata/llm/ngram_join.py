@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.llm.components import components
+from strata.llm.memory import give_back
 from strata.llm.scratch import stored
 from strata.llm.tokens import slices
 from strata.llm.word_hashes import mixed, words
@@ -56,7 +57,7 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 #: White space between words becomes a blank, A-Z become a-z.
 _FOLD = bytes(0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Bytes of text that are cut into words together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shingle_sets(texts: list[bytes | None], n: int = NGRAM) -> list[np.ndarray]:
@@ -95,6 +96,7 @@ def _parts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Re
         for part in slices(whole, text, SLICE_BYTES):
             yield part, shingle_sets(part.column(text).cast(pa.large_binary()).to_pylist())
         pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def fingerprint(found: np.ndarray) -> int:

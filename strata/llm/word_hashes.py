@@ -11,8 +11,9 @@ import xxhash
 
 #: Odd bases of the polynomials; a second one gives a second, independent hash. Fixed values.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Bytes of a buffer that are hashed together, and the length from which a word is hashed on its own.
-CHUNK = 4 << 20
+#: Bytes of a buffer that are hashed together (few enough to stay in a processor's cache), and the length from which a word is
+#: hashed on its own.
+CHUNK = 1 << 18
 LONG_WORD = 256
 
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
