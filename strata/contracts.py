@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -68,12 +66,6 @@ class TableContract:
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
 
-    def columns(self) -> list[Column]:
-        return [F.col(name) for name in self.names]
-
-    def renamed(self, **changes) -> TableContract:
-        return replace(self, **changes)
-
 
 # The tables, their columns, widths and keys.
 

@@ -9,7 +9,6 @@ from strata.contracts import PIPELINE_RUNS
 
 # States of a run.
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
-STATES = (STARTED, SUCCESS, FAILED)
 
 EVENT_COLUMNS = PIPELINE_RUNS.names
 

@@ -19,6 +19,7 @@ from strata.plans.lake import Lake
 from strata.plans.stages import StageFailed
 from strata.plans.store import claim
 from strata.plans.tables import create_tables
+from strata.sources import layers
 
 # Where each stage reads and writes, as the run log names it.
 ENDPOINTS = {
@@ -102,7 +103,7 @@ def write_run_log(spark: SparkSession, lake: Lake, run: Run, stage: str, report:
         )],
         RUN_LOG_INPUT,
     )
-    store.append(runlog.run_log_rows(row, spark.table(RUN_LOG.full_name).columns), RUN_LOG.full_name)
+    store.append(runlog.run_log_rows(row, layers.target_columns(spark, RUN_LOG.full_name)), RUN_LOG.full_name)
 
 
 RUN_LOG_INPUT = ", ".join(

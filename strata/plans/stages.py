@@ -260,16 +260,14 @@ def load_dimension(
 ) -> dict[str, int]:
     """One dimension brought up to the execution date; rows per action."""
     contract = DIMENSIONS[name]
-    merged = upsert.merge_dimension(
-        spark.table(contract.full_name),
-        layer_rows(spark, lake, "curated", name, execution_date),
-        contract,
-        execution_date=F.lit(execution_date),
-        batch_ts=batch_ts,
-        count=count,
-        start=key_range(spark, lake, contract),
-    )
-    return publish(merged, lake, contract)
+    batch = layer_rows(spark, lake, "curated", name, execution_date)
+    when = {"execution_date": F.lit(execution_date), "batch_ts": batch_ts}
+    present = upsert.present_members(spark.table(contract.full_name), batch, contract, count=count, **when)
+
+    def added(matched: DataFrame) -> DataFrame:
+        return upsert.new_members(matched, batch, contract, start=key_range(spark, lake, contract), **when)
+
+    return publish(spark, lake, contract, present, added)
 
 
 def load_fact(spark: SparkSession, lake: Lake, *, execution_date: str, batch_ts: Column) -> dict[str, int]:

@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.contracts import ALL_TABLES, DATABASES, TableContract
-from strata.operators.upsert import ACTION
+from strata.operators.upsert import ACTION, KEPT
 from strata.plans.lake import Lake
 from strata.plans.store import claim
 
@@ -50,16 +51,23 @@ def key_range(spark: SparkSession, lake: Lake, contract: TableContract) -> Calla
     return start
 
 
-def publish(merged: DataFrame, lake: Lake, contract: TableContract) -> dict[str, int]:
-    """Write the merged dimension beside the present one and point the table at it.
+def publish(
+    spark: SparkSession, lake: Lake, contract: TableContract, present: DataFrame, added: Callable[[DataFrame], DataFrame]
+) -> dict[str, int]:
+    """Write a dimension's new state beside the present one and point the table at it; rows per action.
+
+    ``present`` are the members as the load leaves them; ``added`` gives the new members, from those that the batch has
+    matched. These are read from the files just written, so the dimension is joined with the batch once.
 
     Readers keep the old files until the pointer moves, and a load that fails before leaves the
     table as it was. Rows per action are counted in the files written.
     """
-    spark = merged.sparkSession
     location = f"{lake.table(contract)}/version-{uuid.uuid4().hex}"
-    merged.write.parquet(location)
-    written = spark.read.schema(merged.schema).parquet(location)
+    rows = present.select(*contract.names, ACTION)
+    rows.write.parquet(location)
+    matched = spark.read.schema(rows.schema).parquet(location).where(F.col(ACTION) != KEPT)
+    added(matched).select(*contract.names, ACTION).write.mode("append").parquet(location)
+    written = spark.read.schema(rows.schema).parquet(location)
     counts = {row[ACTION]: row["count"] for row in written.groupBy(ACTION).count().collect()}
     spark.sql(f"ALTER TABLE {contract.full_name} SET LOCATION '{location}'")
     return counts

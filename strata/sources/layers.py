@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 PARTITION = "execution_date"
 
@@ -20,14 +19,6 @@ def of_date(layer: DataFrame, execution_date: str | dt.date, column: str = PARTI
     return layer.filter(F.col(column) == date_literal(execution_date))
 
 
-def read_partition(
-    spark: SparkSession, root: str, execution_date: str | dt.date, schema: T.StructType | None = None
-) -> DataFrame:
-    """One execution date of the Parquet layer at ``root``."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return of_date(reader.parquet(root), execution_date)
-
-
 def target_columns(spark: SparkSession, table: str) -> list[str]:
     """Column names of a catalog table, in table order."""
     return spark.table(table).columns

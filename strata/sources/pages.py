@@ -85,8 +85,7 @@ def missing_pages(pages: DataFrame, *, page: str = "page", last: int | None = No
     """Ranges ``(first_missing, last_missing)`` of page numbers absent between 1 and ``last``.
 
     ``last`` defaults to the highest landed page. The next landed number is looked up by a
-    window within blocks of page numbers; blocks meet through a frame of one row per block, which
-    a 32-bit page number bounds to 21,475 rows.
+    window within blocks of page numbers; blocks meet through a frame of one row per block that has pages.
     """
     numbers = pages.select(F.col(page).cast("bigint").alias("page")).filter("page >= 1")
     if last is not None:
@@ -101,7 +100,7 @@ def missing_pages(pages: DataFrame, *, page: str = "page", last: int | None = No
         "block", F.lead("block_start").over(Window.orderBy("block")).alias("next_block_start")
     )
     inside = F.lead("page").over(Window.partitionBy("block").orderBy("page"))
-    gaps = blocks.withColumn("inside", inside).join(F.broadcast(following), "block")
+    gaps = blocks.withColumn("inside", inside).join(following, "block")
     return (
         gaps.select("page", F.coalesce("inside", "next_block_start").alias("next"))
         .filter("next > page + 1")
