@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.llm.components import components
 from strata.llm.memory import give_back
-from strata.llm.scratch import stored
+from strata.llm.scratch import forget, stored
 from strata.llm.tokens import slices
 from strata.llm.word_hashes import mixed, words
 
@@ -311,7 +311,8 @@ class _Linker:
 
     def add(self, pairs: DataFrame) -> DataFrame:
         """Adds those of ``pairs`` that reach the threshold to the links; returns the components so far."""
-        pairs = stored(_near(stored(pairs, "ngram-pairs"), self.scan), "ngram-near")
+        listed = stored(pairs, "ngram-pairs")
+        pairs = stored(_near(listed, self.scan), "ngram-near")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         new = nodes if self.sets is None else nodes.join(self.sets, "node", "left_anti")
         wanted = stored(new.join(self.reps, "node").select("id", "node"), "ngram-wanted")
@@ -323,6 +324,7 @@ class _Linker:
         common = F.size(F.array_intersect("sa", "sb"))
         enough = 100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)
         found = stored(pairs.join(one, "a").join(two, "b").where(enough).select("a", "b"), "ngram-links")
+        forget(listed, pairs, wanted)
         self.links = found if self.links is None else self.links.union(found)
         return components(self.links)
 
@@ -342,7 +344,9 @@ def _lists(docs: DataFrame, key: str, text: str, scan: DataFrame, reps: DataFram
     shared = stored(spread.where("lo <> hi OR salt > 0").drop("lo", "hi", "salt").distinct(), "ngram-shared")
     weight = shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
     entry = F.struct("node", "n", "pos", "role", "weight").alias("e")
-    return stored(shared.join(weight, "node").select("sig", entry), "ngram-lists")
+    lists = stored(shared.join(weight, "node").select("sig", entry), "ngram-lists")
+    forget(shared)
+    return lists
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -382,7 +386,9 @@ def _members(docs: DataFrame, key: str, text: str) -> DataFrame:
         joined = linker.add(_pairs(rest.join(leaders, "sig").where((F.col("c") != F.col("lc")) & _may_link("e", "l")), "e", "l"))
         named = lists.join(joined, F.col("e.node") == F.col("node"), "left").select("sig", "e", F.coalesce("component", "e.node").alias("c"))
         mixed = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
-        rest = stored(named.join(mixed, "sig"), "ngram-rest")
+        before_it, rest = rest, stored(named.join(mixed, "sig"), "ngram-rest")
+        if turn:
+            forget(before_it)
 
     # The name of a component is its smallest document id.
     member = reps.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))

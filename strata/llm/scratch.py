@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.session import scratch_root
+from strata.session import drop_path, scratch_root
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -19,3 +20,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove tables made by :func:`stored`, once everything that reads them is stored itself, and let Spark remove the shuffle files
+    of steps that are over: it does so when the driver has collected what refers to them."""
+    for frame in frames:
+        found = frame.inputFiles()
+        if found and "/strata-llm/" in found[0]:
+            drop_path(frame.sparkSession, found[0].rpartition("/")[0])
+    if frames:
+        gc.collect()
+        frames[0].sparkSession.sparkContext._jvm.System.gc()
