@@ -311,6 +311,11 @@ FROM (SELECT *, '{{"stage":"' || event_type || '","user_id":' || user_id || ',"e
   'logs/debt/layer=curated/execution_date=' || CASE WHEN event_type = 'view' THEN 'unknown'
     ELSE strftime(ts, '%Y-%m-%d') END || '/run_id=run_' || event_id || '.json' AS log_path,
   '{_ISO}' AS log_written_at_utc FROM events""",
+    "q21e_audit_files": f"""SELECT log_path AS file, * FROM (SELECT 'run+' || event_id AS run_id, 'SUCCESS' AS status,
+  CASE WHEN event_type = 'error' THEN props END AS error_message, CAST(user_id AS VARCHAR) AS user_id,
+  'logs/debt/layer=curated/execution_date=' || CASE WHEN event_type = 'view' THEN 'unknown'
+    ELSE strftime(ts, '%Y-%m-%d') END || '/run_id=run_' || event_id || '.json' AS log_path,
+  '{_ISO}' AS log_written_at_utc FROM events)""",
     "q22_lifecycle": f"""SELECT {_numbered('event_id')} AS audit_id, event_type AS stage,
   strftime(ts, '%Y-%m-%d') AS execution_date,
   CASE event_type WHEN 'view' THEN 'STARTED' WHEN 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
