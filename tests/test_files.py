@@ -56,3 +56,15 @@ def test_scan_of_stores_that_only_spark_opens(spark, tmp_path):
     (tmp_path / "empty.json").write_text("")
     found = {r["path"].rpartition("/")[2]: r["length"] for r in manifest.scanned_manifest(spark, str(tmp_path)).collect()}
     assert found == {"a b+%41.json": 1, "empty.json": 0}
+
+
+def test_rows_of_one_partition_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 1).selectExpr("concat('d', id % 3, '/f', id) AS path", "cast('z' as binary) AS content")
+    tasks = files.written(rows, str(tmp_path)).rdd.glom().map(len).collect()
+    assert sum(tasks) == 400 and sum(n > 0 for n in tasks) >= 8 and max(tasks) < 100
+
+
+def test_rows_of_one_path_leave_the_last(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 1).selectExpr("concat('f', id % 4) AS path", "cast(cast(id as string) as binary) AS content")
+    assert files.written(rows, str(tmp_path)).count() == 40
+    assert {p.name: p.read_text() for p in tmp_path.iterdir()} == {"f0": "36", "f1": "37", "f2": "38", "f3": "39"}
