@@ -68,3 +68,18 @@ def test_rows_of_one_path_leave_the_last(spark, tmp_path):
     rows = spark.range(0, 40, 1, 1).selectExpr("concat('f', id % 4) AS path", "cast(cast(id as string) as binary) AS content")
     assert files.written(rows, str(tmp_path)).count() == 40
     assert {p.name: p.read_text() for p in tmp_path.iterdir()} == {"f0": "36", "f1": "37", "f2": "38", "f3": "39"}
+
+
+def test_few_folders_are_listed_by_a_task_each_and_files_read_in_their_place(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"d{i}").mkdir()
+        for j in range(5):
+            (tmp_path / f"d{i}" / f"f{j}").write_text(f"{i}{j}")
+    listing = files.listed(spark, str(tmp_path))
+    assert max(listing.rdd.glom().map(len).collect()) <= 5  # one folder
+    assert {r["path"]: r["place"] for r in listing.collect()} == {str(p): p.stat().st_ino for p in tmp_path.glob("*/*")}
+    read = files.read(listing)
+    inodes = [[(tmp_path / p).stat().st_ino for p in part] for part in read.select("path").rdd.map(lambda r: r[0]).glom().collect()]
+    assert [i for part in inodes for i in part] == sorted(i for part in inodes for i in part)
+    assert {bytes(r["content"]).decode() for r in read.collect()} == {f"{i}{j}" for i in range(6) for j in range(5)}
+    assert files.read(listing.drop("place")).count() == 30
