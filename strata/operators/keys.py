@@ -39,9 +39,10 @@ def numbered(copy: DataFrame, name: str, start: Start = 0) -> DataFrame:
     gives the same numbers to any reader. The driver sees one count per file.
     """
     file = F.col("_metadata.file_name")
-    counts = copy.groupBy(
-        F.regexp_extract(file, _PART, 1).cast("int").alias("part"), F.regexp_extract(file, _PIECE, 1).cast("int").alias("piece"), file.alias("file"),
-    ).agg(F.count(F.lit(1)).alias("rows")).toArrow().sort_by([("part", "ascending"), ("piece", "ascending")])
+    # The numbers are cut from the names of files, not from those of rows.
+    counts = copy.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.regexp_extract("file", _PART, 1).cast("int").alias("part"), F.regexp_extract("file", _PIECE, 1).cast("int").alias("piece"), "file", "rows",
+    ).toArrow().sort_by([("part", "ascending"), ("piece", "ascending")])
     rows = counts.column("rows").to_pylist()
     if not isinstance(start, Column):
         start = F.lit(start(sum(rows)) if callable(start) else start)
@@ -59,14 +60,21 @@ def assign_keys(
     """Number rows of distinct natural keys ``start + 1, start + 2, ..`` in ``(bucket, key)`` order.
 
     Rows are sorted by ranges, in as many tasks as the session's shuffles have, and written once; their places in that
-    copy are the numbers (:func:`numbered`). Hashed buckets come first, so ranges are even whatever the keys look like. Numbers
-    are a function of the data alone: a task or a load that runs again gives the same ones.
+    copy are the numbers (:func:`numbered`). Hashed buckets come first, so ranges are even whatever the keys look like: each task
+    gets as many buckets as the next, and ``rows`` are read once. Only where tasks outnumber buckets are the ranges
+    found by a look at the rows before. Numbers are a function of the data alone: a task or a load that runs again gives the same ones.
     """
     keys = list(keys)
     if not 0 < buckets <= 65536:
         raise ValueError("buckets must lie between 1 and 65536")
-    ordered = rows.withColumn("_bucket", key_bucket(keys, buckets)).orderBy("_bucket", *keys).drop("_bucket")
-    copy, _ = materialise(ordered, "numbered")
+    placed = rows.withColumn("_bucket", key_bucket(keys, buckets))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if tasks <= buckets:
+        task = F.expr(f"cast(_bucket * {tasks}L div {buckets} as int)")
+        ordered = placed.repartitionById(tasks, task).sortWithinPartitions("_bucket", *keys)
+    else:
+        ordered = placed.orderBy("_bucket", *keys)
+    copy, _ = materialise(ordered.drop("_bucket"), "numbered")
     return numbered(copy, name, start)
 
 
