@@ -19,23 +19,26 @@ ISSUES = "_issues"
 
 def convert(field: Field, raw: Column) -> Column:
     """The text as the field's type, null when it does not fit; amounts round half up."""
-    if field.type == "string":
-        return raw
-    if field.type == "date":
-        return to_date_strict(blank_to_null(raw))
-    return blank_to_null(raw).try_cast(field.type)
+    return raw if field.type == "string" else _parsed(field, blank_to_null(raw))
+
+
+def _parsed(field: Field, text: Column) -> Column:
+    return to_date_strict(text) if field.type == "date" else text.try_cast(field.type)
 
 
 def typed_records(records: DataFrame, fields: Iterable[Field], *keep: str) -> DataFrame:
-    """Typed columns, and in ``_issues`` a ``CAST:<column>`` for every value that was lost."""
+    """Typed columns, and in ``_issues`` a ``CAST:<column>`` for every value that was lost.
+
+    A value is trimmed once and converted once, in a step each; ``_issues`` compares the results.
+    """
     fields = list(fields)
-    converted = [convert(f, F.col(f.name)).alias(f.name) for f in fields]
-    lost = [
-        (blank_to_null(F.col(f.name)).isNotNull() & convert(f, F.col(f.name)).isNull(), f"CAST:{f.name}")
-        for f in fields
-        if f.type != "string"
-    ]
-    return records.select(*keep, *converted, codes(*lost).alias(ISSUES))
+    others = [f for f in fields if f.type != "string"]
+    texts = records.select(
+        *keep, *[f.name for f in fields], *[blank_to_null(F.col(f.name)).alias(f"_text_{f.name}") for f in others])
+    both = texts.withColumns({f"_typed_{f.name}": _parsed(f, F.col(f"_text_{f.name}")) for f in others}) if others else texts
+    lost = [(F.col(f"_text_{f.name}").isNotNull() & F.col(f"_typed_{f.name}").isNull(), f"CAST:{f.name}") for f in others]
+    typed = [F.col(f.name if f.type == "string" else f"_typed_{f.name}").alias(f.name) for f in fields]
+    return both.select(*keep, *typed, codes(*lost).alias(ISSUES))
 
 
 def latest_per_key(rows: DataFrame, keys: Iterable[str], order: Iterable[str] = ()) -> DataFrame:

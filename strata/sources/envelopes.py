@@ -28,7 +28,8 @@ def result_elements(
     cannot be parsed, with the whole text and no ``item``. The outer form of the explode keeps the optimizer from testing
     the array's size, and so parsing the document once more, below it.
 
-    One cast per element gives all members together, and is null for what is no object.
+    One cast per element gives all members together, and is null for what is no object. It is the output of a generator, too:
+    conditions on it would else be pushed below, and cast every element once more.
     """
     source_names = source_names or {}
     names = list(names)
@@ -42,7 +43,7 @@ def result_elements(
     exploded = results.select(*keep, "_lost", F.posexplode_outer("_results").alias("item", "_value"))
     wanted = sorted(set(members.values()))
     shape = "struct<" + ", ".join(f"{_quoted(member)}: string" for member in wanted) + ">" if wanted else "map<string, variant>"
-    cast = exploded.withColumn("_record", F.try_variant_get("_value", "$", shape))
+    cast = exploded.select("*", F.explode_outer(F.array(F.try_variant_get("_value", "$", shape))).alias("_record"))
     odd = F.col("item").isNotNull() & F.col("_record").isNull()
     reason = F.when(F.col("_lost").isNotNull(), NOT_PARSED).when(odd, NOT_OBJECT)
     text = F.when(F.col("_lost").isNotNull(), F.col("_lost")).when(odd, F.coalesce(F.to_json("_value"), F.lit("null")))
