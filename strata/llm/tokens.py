@@ -7,8 +7,10 @@ ids are those of the whole text; texts with other or repeated white space are gi
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +61,14 @@ class Encoder:
         new = [i for i, x in enumerate(found) if x is None]
         for at in range(0, len(new), 5_000):
             part = new[at : at + 5_000]
-            for i, x in zip(part, self.library.encode_batch_fast([words[i] for i in part], add_special_tokens=False), strict=True):
-                ids = x.ids
-                found[i] = self.words[words[i]] = len(self.flat) * _SPAN + len(ids)
-                self.flat.extend(ids)
+            fresh = [words[i] for i in part]
+            ids = [x.ids for x in self.library.encode_batch_fast(fresh, add_special_tokens=False)]
+            sizes = list(map(len, ids))
+            places = [start * _SPAN + size for start, size in zip(accumulate(sizes, initial=len(self.flat)), sizes)]
+            self.flat.extend(chain.from_iterable(ids))
+            self.words.update(zip(fresh, places, strict=True))
+            for i, place in zip(part, places, strict=True):
+                found[i] = place
         return np.fromiter(found, dtype=np.int64, count=len(found))
 
     def batch(self, texts: pa.Array) -> list[bytes]:
@@ -83,7 +89,7 @@ class Encoder:
         each = sizes[code]
         ends = np.cumsum(each)
         at = np.repeat(starts[code] - (ends - each), each) + np.arange(len(code) and ends[-1])
-        ids = np.frombuffer(self.flat.tobytes(), dtype=np.uint32)[at].astype("<u4", copy=False)
+        ids = np.frombuffer(self.flat, dtype=np.uint32)[at].astype("<u4", copy=False) if len(self.flat) else np.empty(0, dtype="<u4")
         ends = np.concatenate([[0], ends])[bounds]
         return [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -92,7 +98,9 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
-    """The worker's encoder for a tokenizer file; it lives as long as the worker."""
+    """The worker's encoder for a tokenizer file; it lives as long as the worker. A task has one core, so the library starts no
+    threads of its own unless the environment asks for them."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     _ENCODERS[path].most_words = most_words
