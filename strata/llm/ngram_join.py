@@ -8,6 +8,9 @@ meet in a list; nothing is capped. A pair is compared by whole sets only if shor
 each of about ``n`` bits, whether an odd number of its shingles fall there, so two sketches differ in no more bits than their sets in
 shingles.
 
+Most lists are short, and most that are short bring unrelated sets together. Their pairs are written where the lists are gathered, without
+those that positions and sizes rule out, and their entries go no further.
+
 Long lists are not expanded into pairs. While they would give many pairs for their entries, each list compares its members with one
 leader, and verified links make components; then the members of different components are paired, which loses no
 component. While entries are gathered, lists of frequent shingles are salted by the shingle's count, so no task holds a whole one.
@@ -52,6 +55,8 @@ FILTER_BITS = 1 << 24
 #: what is left), and pairs per entry that need no leader.
 LEADER_TURNS = 6
 PAIRS_PER_ROW = 0.6
+#: Longest list that is paired where it is gathered.
+SHORT_LIST = 16
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 #: White space between words becomes a blank, A-Z become a-z.
@@ -231,13 +236,17 @@ def _entries(docs: DataFrame, text: str, noted: np.ndarray, counts: np.ndarray,
     return docs.select(F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
-def _may_link(a: str, b: str) -> Column:
+def _may_meet(a: Column, b: Column) -> Column:
     """Whether two entries of a list can be those of the first shared shingle of two sets that link."""
-    na, nb, pa_, pb, ra, rb = (F.col(f"{x}.{c}") for c in ("n", "pos", "role") for x in (a, b))
+    na, nb, pa_, pb, ra, rb = (x[c] for c in ("n", "pos", "role") for x in (a, b))
     sizes = (100 * na >= PERCENT * nb) & (100 * nb >= PERCENT * na)
     after = F.least(na - pa_, nb - pb)
     reach = (100 + PERCENT) * after >= PERCENT * (na + nb)
-    return sizes & reach & ((ra == 0) | (ra == 1) | (rb == 1)) & (F.col(f"{a}.node") != F.col(f"{b}.node"))
+    return sizes & reach & ((ra == 0) | (ra == 1) | (rb == 1)) & (a["node"] != b["node"])
+
+
+def _may_link(a: str, b: str) -> Column:
+    return _may_meet(F.col(a), F.col(b))
 
 
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -310,7 +319,8 @@ class _Linker:
         self.links: DataFrame | None = None
 
     def add(self, pairs: DataFrame) -> DataFrame:
-        """Adds those of ``pairs`` that reach the threshold to the links; returns the components so far."""
+        """Adds those of ``pairs`` that reach the threshold to the links; returns the components so far. Of the sets read before, those
+        that these pairs name travel."""
         pairs = stored(_near(stored(pairs, "ngram-pairs"), self.scan), "ngram-near")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         new = nodes if self.sets is None else nodes.join(self.sets, "node", "left_anti")
@@ -318,8 +328,8 @@ class _Linker:
         if self.sets is None or not wanted.isEmpty():
             more = stored(_sets(self.docs, self.key, self.text, wanted), "ngram-sets")
             self.sets = more if self.sets is None else self.sets.union(more)
-        one = self.sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-        two = self.sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+        one = self.sets.select(F.col("node").alias("a"), F.col("set").alias("sa")).join(pairs.select("a"), "a", "left_semi")
+        two = self.sets.select(F.col("node").alias("b"), F.col("set").alias("sb")).join(pairs.select("b"), "b", "left_semi")
         common = F.size(F.array_intersect("sa", "sb"))
         enough = 100 * common >= PERCENT * (F.size("sa") + F.size("sb") - common)
         found = stored(pairs.join(one, "a").join(two, "b").where(enough).select("a", "b"), "ngram-links")
@@ -327,8 +337,8 @@ class _Linker:
         return components(self.links)
 
 
-def _lists(docs: DataFrame, key: str, text: str, scan: DataFrame, reps: DataFrame) -> DataFrame:
-    """Entries of the lists with two nodes or more: ``sig`` and ``e``, with the number of a node's entries as its weight."""
+def _lists(docs: DataFrame, key: str, text: str, scan: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of the long lists: ``sig`` and ``e``, with the number of a node's entries as its weight; and the pairs of the short ones."""
     often = scan.where("kind = 1").groupBy(F.col("b").alias("sig")).agg(F.sum("a").alias("count"))
     often = often.orderBy(F.desc("count"), "sig").limit(NOTED).toArrow()
     noted, counts = often.column("sig").to_numpy().view(np.uint64), often.column("count").to_numpy()
@@ -339,10 +349,18 @@ def _lists(docs: DataFrame, key: str, text: str, scan: DataFrame, reps: DataFram
     lists = _entries(docs.where(F.col(key).isNotNull()), text, noted[by_name], counts[by_name], boundary)
     one_list = Window.partitionBy("sig", "salt")
     spread = lists.withColumn("lo", F.min("node").over(one_list)).withColumn("hi", F.max("node").over(one_list))
-    shared = stored(spread.where("lo <> hi OR salt > 0").drop("lo", "hi", "salt").distinct(), "ngram-shared")
-    weight = shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+    shared = spread.where("lo <> hi OR salt > 0").drop("lo", "hi").distinct().withColumn("size", F.count(F.lit(1)).over(one_list))
+    short = (F.col("salt") == 0) & (F.col("size") <= SHORT_LIST)
+    x = F.struct("node", "n", "pos", "role")
+    rest = one_list.orderBy("node", "pos", "role", "n").rowsBetween(1, max(1, SHORT_LIST - 1))
+    paired = shared.withColumn("x", x).withColumn("after", F.collect_list(F.when(short, x)).over(rest))
+    paired = paired.withColumn("ys", F.filter("after", lambda y: _may_meet(F.col("x"), y)))
+    kept = stored(paired.where(~short | (F.size("ys") > 0)).select("sig", "x", short.alias("short"), "ys"), "ngram-shared")
+    pairs = _pairs(kept.where("short").select("x", F.explode("ys").alias("y")), "x", "y")
+    long = kept.where("NOT short").select("sig", "x.*")
+    weight = long.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
     entry = F.struct("node", "n", "pos", "role", "weight").alias("e")
-    return stored(shared.join(weight, "node").select("sig", entry), "ngram-lists")
+    return stored(long.join(weight, "node").select("sig", entry), "ngram-lists"), pairs
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -359,11 +377,18 @@ def _members(docs: DataFrame, key: str, text: str) -> DataFrame:
     scan = stored(_scan(docs, key, text), "ngram-scan")
     nodes = scan.where("kind = 0").select("id", F.col("a").alias("n"), F.col("b").alias("node"))
     reps = nodes.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    lists = _lists(docs, key, text, scan, reps)
+    lists, short = _lists(docs, key, text, scan, reps)
     linker = _Linker(docs, key, text, scan, reps)
     joined = lists.select(F.col("e.node").alias("node"), F.col("e.node").alias("component")).where("false")
     rest = lists.withColumn("c", F.col("e.node"))
     before = None
+
+    def added(pairs: DataFrame) -> DataFrame:
+        """The pairs of the short lists go with the first others."""
+        nonlocal short
+        pairs, short = pairs if short is None else pairs.union(short).distinct(), None
+        return linker.add(pairs)
+
     for turn in range(LEADER_TURNS + 1):
         spread = rest.groupBy("sig", "c").count().groupBy("sig").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("q"))
         rows, pairs = spread.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("q")) / 2)).first()
@@ -373,16 +398,18 @@ def _members(docs: DataFrame, key: str, text: str) -> DataFrame:
         before = pairs
         if turn == LEADER_TURNS or pairs <= PAIRS_PER_ROW * rows or not helped:
             found = rest.alias("x").join(rest.alias("y"), "sig").where(F.expr("x.c < y.c") & _may_link("x.e", "y.e"))
-            joined = linker.add(_pairs(found, "x.e", "y.e"))
+            joined = added(_pairs(found, "x.e", "y.e"))
             break
         # In each list the heaviest node leads first, as it shares most with the others; later a random one.
         rank = F.col("e.weight") if turn == 0 else F.xxhash64(F.lit(turn), "e.node")
         order = F.struct((F.col("e.role") == 1).alias("heavy"), rank.alias("rank"), "e", "c")
         leaders = rest.groupBy("sig").agg(F.max(order).alias("m")).select("sig", F.col("m.e").alias("l"), F.col("m.c").alias("lc"))
-        joined = linker.add(_pairs(rest.join(leaders, "sig").where((F.col("c") != F.col("lc")) & _may_link("e", "l")), "e", "l"))
+        joined = added(_pairs(rest.join(leaders, "sig").where((F.col("c") != F.col("lc")) & _may_link("e", "l")), "e", "l"))
         named = lists.join(joined, F.col("e.node") == F.col("node"), "left").select("sig", "e", F.coalesce("component", "e.node").alias("c"))
         mixed = named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
         rest = stored(named.join(mixed, "sig"), "ngram-rest")
+    if short is not None:
+        joined = linker.add(short)
 
     # The name of a component is its smallest document id.
     member = reps.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -328,6 +328,39 @@ def test_ngram_join_against_brute_force(spark):
     assert ngram_join.join(empty_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("longest", [0, 3])
+def test_ngram_join_with_lists_of_any_length(spark, monkeypatch, longest):
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", longest)
+    draw = np.random.default_rng(8)
+    rows = []
+    for size in (5, 12, 80):
+        base = [f"v{i}" for i in draw.integers(0, 500, size)]
+        for copies in (2, 3, 9):
+            base = [*base[: size // 2], *(f"u{i}" for i in draw.integers(0, 500, size - size // 2))]
+            rows += [(len(rows) + i, " ".join([*base, *(["end"] * int(draw.integers(3)))])) for i in range(copies)]
+    found = ngram_join.join(spark.createDataFrame([*rows, (900, rows[0][1])], "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components([*rows, (900, rows[0][1])])
+
+
+def test_short_lists_go_no_further_than_where_they_are_gathered(spark, monkeypatch):
+    # Each two texts share a passage, but not enough to link; each third pair links.
+    rows = []
+    for i in range(40):
+        shared = [f"s{i}x{k}" for k in range(36)]
+        rows += [(2 * i + j, " ".join([*shared, *(f"t{i}y{j if i % 3 else 0}z{k}" for k in range(24)), f"e{j}"])) for j in range(2)]
+    counts = defaultdict(int)
+
+    def counted(df, name):
+        df = scratch.stored(df, name)
+        counts[name] += df.count()
+        return df
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+    assert counts["ngram-links"] == 14 and counts["ngram-lists"] == 0 and counts["ngram-rest"] == 0
+
+
 def test_representatives_of_repeated_ids(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
     near = lambda t: t + " end"
