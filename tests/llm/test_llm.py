@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -281,6 +282,24 @@ def test_byte_bpe_as_the_library(spark):
     assert byte_bpe.encode(empty_docs(spark).select("doc_id", "text"), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_byte_bpe_of_many_and_long_words(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    pieces = byte_bpe.load(path)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={p: i for i, p in enumerate(pieces)}, special_tokens={})
+    draw = np.random.default_rng(4)
+    letters = lambda n, of="abcdefghijklmnopqrstuvwxyz": "".join(draw.choice(list(of), n))
+    # Pieces side by side: a merge may bring a lesser rank about.
+    known = [p.decode() for p in pieces if p.isalpha() and p.isascii() and len(p) > 2]
+    texts = [letters(20_000), "ab" * 9_000, "a" * 7_001, "=" * 5_000, " ".join(letters(int(n)) for n in draw.integers(2, 20, 20_000)),
+             " ".join("".join(draw.choice(known, int(n))) for n in draw.integers(2, 5, 40_000)), " ".join(letters(int(n), "aab") for n in draw.integers(5, 60, 3_000)),
+             " ".join(letters(5, "日本語テストé́ñ") for _ in range(3_000)), None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    began = time.time()
+    found = {r.doc_id: r.ids for r in byte_bpe.encode(docs, path, public_tokenizers.PATTERN).collect()}
+    assert time.time() - began < 30
+    assert found == {i: library.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
 def brute_components(rows):
     sets = {}
     for key, text in rows:
