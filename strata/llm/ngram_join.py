@@ -431,6 +431,23 @@ def _with_node(held: DataFrame) -> DataFrame:
     return held.mapInArrow(run, StructType([*held.schema.fields, StructField("_node", LongType())]))
 
 
+def _sifted(held: DataFrame, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``held`` that certainly stay, and those on which a join with ``counted`` (``_id``, ``_rows``, ``_named``) has to decide.
+
+    Two filters of fixed size, of the ids that stay and of all that need not stay with every row, are sent to every task. Only rows whose
+    bit is in both are open; a row in the second alone goes. So texts need no shuffle, but for chance hits and ids that repeat.
+    """
+    bit = F.pmod(F.xxhash64(F.col("_id").cast("bigint")), F.lit(FILTER_BITS))
+    word, place = F.shiftright(bit, 6), F.pmod(bit, F.lit(64)).cast("int")
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    whole = (F.col("_rows") == 1) & (F.col("_named") > 0)
+    words = counted.groupBy(word.alias("_word")).agg(
+        *[F.coalesce(F.bit_or(F.when(which, mark)), F.lit(0).cast("bigint")).alias(name) for name, which in (("_some", F.col("_named") > 0), ("_not_all", ~whole))])
+    known = held.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
+    some, not_all = (F.coalesce(F.bit_get(c, place), F.lit(0)) == 1 for c in ("_some", "_not_all"))
+    return known.where(F.col("_id").isNull() | ~not_all).select(*held.columns), known.where(some & not_all).select(*held.columns)
+
+
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps the document with its smallest key.
 
@@ -440,13 +457,15 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     found = _members(docs, key, text).where("id IS NOT NULL")
     named = F.col("id") == F.col("component_id")
     counted = found.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(named).alias("_named"))
-    kept = stored(counted.where("_named > 0").drop("_named"), "ngram-kept")
+    counted = stored(counted, "ngram-kept")
     held = docs.select(
         F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    stay = held.join(kept.where("_rows = 1"), "_id", "left_semi").unionByName(held.where("_id IS NULL")).select("_row")
+    stay, open_ = _sifted(held, counted)
+    kept = counted.where("_named > 0").drop("_named")
+    stay = stay.unionByName(open_.join(kept.where("_rows = 1"), "_id", "left_semi")).select("_row")
     again = kept.where("_rows > 1")
     if not again.isEmpty():
         nodes = found.where(named).withColumnRenamed("id", "_id").join(again, "_id", "left_semi").groupBy("_id", "component").agg(F.min("node").alias("_node"))
-        rows = _with_node(held.join(again, "_id", "left_semi"))
+        rows = _with_node(open_.join(again, "_id", "left_semi"))
         stay = stay.unionByName(rows.join(nodes, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).select("_row"))
     return stay.select("_row.*")

@@ -391,6 +391,42 @@ def test_representatives_of_repeated_ids(spark):
     assert len(both) == 1 and both[0].doc_id == 1
 
 
+def shuffled_bytes(frame):
+    """Bytes that the exchanges of a plan have dealt."""
+    frame.collect()
+    found = []
+
+    def walk(node):
+        if "AdaptiveSparkPlan" in node.nodeName():
+            node = node.executedPlan()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("dataSize").value())
+        for i in range(node.children().length()):
+            walk(node.children().apply(i))
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 24])
+def test_representatives_shuffle_no_text_that_the_ids_decide(spark, monkeypatch, bits):
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", bits)
+    texts = [" ".join(f"v{i}x{k}" for k in range(400)) for i in range(120)]
+    rows = [*enumerate(texts), *((1000 + i, texts[i] + " end") for i in range(0, 120, 3)), (5, texts[5]), (6, texts[7]), (1000, texts[8]), (None, texts[9])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stay = ngram_join.representatives(scratch.stored(docs, "documents"))
+        dealt = shuffled_bytes(stay)
+        assert Counter(map(tuple, stay.collect())) == Counter([(6 if i == 7 else i, t) for i, t in enumerate(texts)] + [(None, texts[9])])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert bits == 64 or dealt < sum(len(t) for _, t in rows) / 5
+
+
 def test_sketches_never_rule_out_a_link(spark):
     rng = np.random.default_rng(5)
     sets, pairs = {}, []
