@@ -435,7 +435,8 @@ def _sifted(held: DataFrame, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of ``held`` that certainly stay, and those on which a join with ``counted`` (``_id``, ``_rows``, ``_named``) has to decide.
 
     Two filters of fixed size, of the ids that stay and of all that need not stay with every row, are sent to every task. Only rows whose
-    bit is in both are open; a row in the second alone goes. So texts need no shuffle, but for chance hits and ids that repeat.
+    bit is in both are unsure; a row in the second alone goes. So texts need no shuffle, but for ids that repeat and chance hits, which grow
+    with the number of ids.
     """
     bit = F.pmod(F.xxhash64(F.col("_id").cast("bigint")), F.lit(FILTER_BITS))
     word, place = F.shiftright(bit, 6), F.pmod(bit, F.lit(64)).cast("int")
@@ -460,12 +461,12 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     counted = stored(counted, "ngram-kept")
     held = docs.select(
         F.col(f"`{key}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    stay, open_ = _sifted(held, counted)
+    stay, unsure = _sifted(held, counted)
     kept = counted.where("_named > 0").drop("_named")
-    stay = stay.unionByName(open_.join(kept.where("_rows = 1"), "_id", "left_semi")).select("_row")
+    stay = stay.unionByName(unsure.join(kept.where("_rows = 1"), "_id", "left_semi")).select("_row")
     again = kept.where("_rows > 1")
     if not again.isEmpty():
         nodes = found.where(named).withColumnRenamed("id", "_id").join(again, "_id", "left_semi").groupBy("_id", "component").agg(F.min("node").alias("_node"))
-        rows = _with_node(open_.join(again, "_id", "left_semi"))
+        rows = _with_node(unsure.join(again, "_id", "left_semi"))
         stay = stay.unionByName(rows.join(nodes, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).select("_row"))
     return stay.select("_row.*")
