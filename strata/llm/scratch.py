@@ -14,8 +14,11 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/strata-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back, so that later work starts from files that outlive executors."""
+def stored(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Write ``df`` once and read it back, so that later work starts from files that outlive executors.
+
+    A file has at most ``file_rows`` rows, if that is given.
+    """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("maxRecordsPerFile", file_rows) if file_rows else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

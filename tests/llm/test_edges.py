@@ -157,6 +157,23 @@ def test_many_equal_vectors(spark):
     assert sorted(map(tuple, found)) == [(0, 8499, 8500), (8500, 499, 500)]
 
 
+def test_vectors_are_stored_once_however_many_cells_they_reach(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    vectors = [*draw.normal(size=(300, 64)), *draw.normal(size=(2, 30))]
+    vectors += [v * 3 for v in vectors[40:60]] + [vectors[0] + draw.normal(size=64) * 0.01]
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(embedding_join, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(embedding_join, "CELL_ROWS", 20)
+    root = f"{scratch.scratch_root(spark)}/once"
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: root)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.near_duplicates(rows).collect()}
+    linked = {0: 322, **{40 + i: 302 + i for i in range(20)}}
+    partner = linked | {b: a for a, b in linked.items()}
+    assert found == {i: (int(i in partner), min(i, partner.get(i, i))) for i in range(323)}
+    written = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(f"{root}/strata-llm")
+    assert written.where("unit IS NOT NULL").count() == 323
+
+
 def test_a_matrix_of_links_is_joined_as_its_links_are():
     draw = np.random.default_rng(8)
     for density in (0.0, 0.01, 0.05, 0.5, 1.0):
